@@ -1,8 +1,10 @@
 """The queries of this subpackage, with DuckDB SQL where SQL can express them."""
 
 from .decontaminate import op1_decontaminate
+from .substring_dedup import op2_substring_dedup
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_substring_dedup": op2_substring_dedup,
 }
 ORACLE: dict[str, str] = {}
