@@ -1,10 +1,12 @@
 """The queries of this subpackage, with DuckDB SQL where SQL can express them."""
 
 from .decontaminate import op1_decontaminate
+from .simhash import op9_simhash_bktree
 from .substring_dedup import op2_substring_dedup
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_substring_dedup": op2_substring_dedup,
+    "op9_simhash_bktree": op9_simhash_bktree,
 }
 ORACLE: dict[str, str] = {}
