@@ -8,8 +8,8 @@ threat verb before a target becomes a threat.  They are composed into one machin
 that scores whole clauses; a document's score is a logistic function of its
 clauses' scores.
 
-The lexicon's insults are learned: words far commoner in toxic documents than in
-others, from a bounded sample of labelled rows (the first SAMPLE_ROWS by hash of
+The lexicon's insults are learned: words and stems far commoner in toxic documents
+than in others, from a bounded sample of labelled rows (the first SAMPLE_ROWS by hash of
 id).  The logistic function is fitted on the same rows.  Every document is scored
 on its whole text.
 """
@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 
 from ._util import ALNUM, LOWER, quoted, table, text_bytes
 
-#: Most labelled rows learned from, most words learned, and how sure a word must be (standard errors of its log odds).
-SAMPLE_ROWS, LEXICON_WORDS, LEAST_Z = 20_000, 5_000, 3.0
+#: Most labelled rows learned from, most words learned; how sure a word must be (root of the likelihood ratio) and its least log odds.
+SAMPLE_ROWS, LEXICON_WORDS, LEAST_Z, LEAST_ODDS = 20_000, 5_000, 4.0, math.log(8)
+#: Characters of the stems learned besides whole words; the longest that fits counts.
+STEMS = (4, 5, 6)
 #: Weight of words listed here that the sample does not know, and the most weight of any.
 LISTED_WEIGHT, MOST_WEIGHT = 3.0, 6.0
 THRESHOLD = 0.3
@@ -98,20 +100,37 @@ def grammar() -> Transducer:
     return compose(compose(compose(negation, reported), threats), targets)
 
 
+class Lexicon(dict):
+    """Word to (symbol, weight) or None, by the word itself or else its longest stem; remembers what it was asked."""
+
+    def __init__(self, weights: dict[str, float], most: int = 300_000) -> None:
+        super().__init__()
+        listed = {w: (symbol, LISTED_WEIGHT) for symbol, words in WORDS.items() for w in words.split()}
+        learned = {w: ("insult", min(x, MOST_WEIGHT)) for w, x in weights.items()}
+        self.known, self.most = listed | {w: (listed[w][0], x[1]) if w in listed else x for w, x in learned.items()}, most
+
+    def __missing__(self, word: bytes) -> tuple[str, float] | None:
+        if len(self) >= self.most:
+            self.clear()
+        text = word.decode(errors="replace")
+        keys = (text, *(f"{text[:k]}*" for k in sorted(STEMS, reverse=True) if len(text) >= k))
+        found = self[word] = next((self.known[k] for k in keys if k in self.known), None)
+        return found
+
+
 class Scorer:
     """The lexicon composed with the grammar."""
 
     def __init__(self, weights: dict[str, float]) -> None:
-        listed = {w.encode(): (symbol, LISTED_WEIGHT) for symbol, words in WORDS.items() for w in words.split()}
-        learned = {w.encode(): ("insult", min(x, MOST_WEIGHT)) for w, x in weights.items()}
-        self.lexicon = listed | {w: (listed[w][0], x[1]) if w in listed else x for w, x in learned.items()}
-        self.starts = frozenset(w for w, (s, _) in self.lexicon.items() if s in ("insult", "threat"))
-        self.machine = grammar()
+        self.lexicon, self.machine = Lexicon(weights), grammar()
+
+    def _matches(self, words: list[bytes]) -> bool:
+        return any(x[0] in ("insult", "threat") for x in map(self.lexicon.__getitem__, words) if x is not None)
 
     def clause(self, words: list[bytes]) -> float:
         state, total, held = 0, 0.0, LISTED_WEIGHT
         for word in words:
-            symbol, weight = self.lexicon.get(word, ("other", 1.0))
+            symbol, weight = self.lexicon[word] or ("other", 1.0)
             if symbol == "threat":
                 held = weight
             state, out, factor = self.machine.step(state, symbol)
@@ -121,43 +140,60 @@ class Scorer:
 
     def features(self, text: bytes) -> tuple[float, float, float]:
         """Best clause, all clauses and number of clauses that match, the last two by logarithm."""
-        if self.starts.isdisjoint(text.translate(ALNUM).split()):
+        if not self._matches(text.translate(ALNUM).split()):
             return 0.0, 0.0, 0.0
         scores = []
         for part in _CLAUSE.split(text.translate(LOWER)):
             words = part.translate(ALNUM).split()
-            if not self.starts.isdisjoint(words):
+            if self._matches(words):
                 scores.append(self.clause(words))
         return max(scores), math.log1p(sum(scores)), math.log1p(len(scores))
 
 
+def _stems(words: Column, k: int) -> Column:
+    return F.transform(F.filter(words, lambda x: F.length(x) >= k), lambda x: F.concat(F.substring(x, 1, k), F.lit("*")))
+
+
 def learn_words(docs: DataFrame, text_col: str, label_col: str) -> dict[str, float]:
-    """Log odds ratios of words that speak for label 1; at most LEXICON_WORDS, the surest first."""
+    """Log odds ratios of words and stems (`stem*`) that speak for label 1; at most LEXICON_WORDS, the surest first.
+
+    Copies count once: of documents with one MinHash over three-word shingles only one is looked at.
+    """
     lower = F.translate(F.coalesce(quoted(text_col), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = F.array_distinct(F.split(lower, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
-    count = docs.agg(F.sum(quoted(label_col).cast("long")), F.count("*")).first()
+    words = F.array_remove(F.split(lower, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
+    w = F.col("words")
+    shingles = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - 2, F.lit(1))), lambda i: F.xxhash64(F.get(w, i - 1), F.get(w, i), F.get(w, i + 1)))
+    once = docs.select(words.alias("words"), quoted(label_col).alias("y")).withColumn("group", F.array_min(shingles)).groupBy("group").agg(F.max(F.struct("y", "words")).alias("doc")).select("doc.*")
+    patterns = F.array_distinct(F.concat(w, *(_stems(w, k) for k in STEMS)))
+    count = once.agg(F.sum(F.col("y").cast("long")), F.count("*")).first()
     ones, rest = count[0] or 0, count[1] - (count[0] or 0)
     if not ones or not rest:
         return {}
-    each = docs.select(F.explode(words).alias("word"), quoted(label_col).alias("y")).where("word <> ''").groupBy("word").agg(F.sum("y").cast("double").alias("a"), F.sum(1 - F.col("y")).cast("double").alias("b"))
+    each = once.select(F.explode(patterns).alias("word"), "y").groupBy("word").agg(F.sum("y").cast("double").alias("a"), F.sum(1 - F.col("y")).cast("double").alias("b"))
     odds = F.log((F.col("a") + 0.5) / F.lit(ones + 1.0)) - F.log((F.col("b") + 0.5) / F.lit(rest + 1.0))
-    sure = odds / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
-    best = each.select("word", odds.alias("w"), sure.alias("z")).where((F.col("z") >= LEAST_Z) & (F.col("w") >= math.log(4))).orderBy(F.desc("z"), "word").limit(LEXICON_WORDS)
+    n, share = F.col("a") + F.col("b"), ones / (ones + rest)
+    part = lambda c, p: F.when(c > 0, c * F.log(c / (n * F.lit(p)))).otherwise(0.0)
+    sure = F.sqrt(F.greatest(2 * (part(F.col("a"), share) + part(F.col("b"), 1 - share)), F.lit(0.0)))
+    best = each.where(odds >= LEAST_ODDS).select("word", odds.alias("w"), sure.alias("z")).where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "word").limit(LEXICON_WORDS)
     return {r.word: r.w for r in best.collect()}
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Intercept and coefficients by Newton steps."""
-    x = np.column_stack((np.ones(len(x)), x))
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Intercept and coefficients, by Newton steps that are halved until they help; a ridge keeps separable classes finite."""
+    scale = np.maximum(x.std(axis=0), 1e-9)
+    x = np.column_stack((np.ones(len(x)), x / scale))
+    penalty = np.diag([1e-3] + [ridge] * (x.shape[1] - 1))
+    loss = lambda w: np.logaddexp(0, x @ w).sum() - y @ (x @ w) + w @ penalty @ w / 2
     w = np.zeros(x.shape[1])
-    penalty = np.diag([1e-6] + [ridge] * (x.shape[1] - 1)) * max(1, len(x)) ** 0.5
-    for _ in range(50):
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (p - y) + penalty @ w)
-        w -= step
-        if np.abs(step).max() < 1e-8:
+        while loss(w - step) > loss(w) and np.abs(step).max() > 1e-9:
+            step /= 2
+        w = w - step
+        if np.abs(step).max() < 1e-7:
             break
-    return w
+    return w / np.concatenate(([1.0], scale))
 
 
 @dataclass

@@ -36,7 +36,7 @@ def test_composition_equals_cascade():
 
 
 def test_small_tables(spark):
-    docs = [(k, ("fine words here " if k % 3 else "you zork here ") * (k % 4 + 1), "x") for k in range(60)] + [(None, None, "x"), (61, "", "x"), (62, "ZORK!! " + "a " * 200_000, "x"), (62, "zork", "x")]
+    docs = [(k, ("fine words here " if k % 3 else "you zork here ") * (k % 4 + 1) + f"{k} a{k} b{k}", "x") for k in range(60)] + [(None, None, "x"), (61, "", "x"), (62, "ZORK!! " + "a " * 200_000, "x"), (62, "zork", "x")]
     frame = spark.createDataFrame(docs, "doc_id long, text string, score string")
     labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(60)] + [(None, 1), (1, None), (2, 0)], "doc_id long, toxic int")
     model = op.train(frame, labels)
@@ -60,4 +60,4 @@ def test_held_out_accuracy(spark):
     caught = sum(p for y, _, p in judged if y) / len(ones)
     wrong = sum(p for y, _, p in judged if not y) / len(zeros)
     print(auc, caught, wrong, len(ones))
-    assert auc > 0.95 and caught > 0.9 and wrong < 0.02
+    assert auc > 0.95 and caught > 0.9 and wrong < 0.02  # labels of junk are noise here: some of it is marked toxic at random
