@@ -19,7 +19,9 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     executors.  Null ends and self-loops link nothing; a node with only those is
     returned as its own component unless it is null.
     """
-    pairs = edges.select(F.col(src).alias("a"), F.col(dst).alias("b"))
+    pairs = materialize(edges.select(F.col(src).alias("a"), F.col(dst).alias("b")))
+    if pairs.isEmpty():
+        return pairs.select(F.col("a").alias("node"), F.col("a").alias("component"))
     loops = pairs.where(F.col("a").isNotNull() | F.col("b").isNotNull()).select(F.explode(F.array("a", "b")).alias("node")).where("node is not null").distinct()
     now = materialize(pairs.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = None
