@@ -3,6 +3,7 @@
 from .chat_format import op3_chat_windows
 from .decontaminate import op1_decontaminate
 from .mixing import OP8_SQL, op8_fair_mixing
+from .quality import op6_quality_llr
 from .sharding import OP4_SQL, op4_extendible_sharding
 from .simhash import op9_simhash_bktree
 from .substring_dedup import op2_substring_dedup
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_chat_windows": op3_chat_windows,
     "op4_extendible_sharding": op4_extendible_sharding,
+    "op6_quality_llr": op6_quality_llr,
     "op7_redirect_equivalence": op7_redirect_equivalence,
     "op8_fair_mixing": op8_fair_mixing,
     "op9_simhash_bktree": op9_simhash_bktree,
@@ -21,6 +23,7 @@ QUERIES = {
 }
 ORACLE = {
     "op4_extendible_sharding": OP4_SQL,
+    "op6_quality_llr": op6_quality_llr,
     "op7_redirect_equivalence": OP7_SQL,
     "op8_fair_mixing": OP8_SQL,
 }
