@@ -1,6 +1,7 @@
 """The queries of this subpackage, with DuckDB SQL where SQL can express them."""
 
 from .chat_format import op3_chat_windows
+from .class_lm import op5_brown_class_lm
 from .decontaminate import op1_decontaminate
 from .mixing import OP8_SQL, op8_fair_mixing
 from .quality import op6_quality_llr
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_chat_windows": op3_chat_windows,
     "op4_extendible_sharding": op4_extendible_sharding,
+    "op5_brown_class_lm": op5_brown_class_lm,
     "op6_quality_llr": op6_quality_llr,
     "op7_redirect_equivalence": op7_redirect_equivalence,
     "op8_fair_mixing": op8_fair_mixing,
@@ -23,6 +25,7 @@ QUERIES = {
 }
 ORACLE = {
     "op4_extendible_sharding": OP4_SQL,
+    "op5_brown_class_lm": op5_brown_class_lm,
     "op6_quality_llr": op6_quality_llr,
     "op7_redirect_equivalence": OP7_SQL,
     "op8_fair_mixing": OP8_SQL,

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._util import ALNUM, LOWER, quoted, table, text_bytes
+from ._util import ALNUM, LOWER, held_out, quoted, table, text_bytes
 
 #: Most labelled rows learned from, most words learned; how sure a word must be (root of the likelihood ratio) and its least log odds.
 SAMPLE_ROWS, LEXICON_WORDS, LEAST_Z, LEAST_ODDS = 20_000, 5_000, 4.0, math.log(8)
@@ -252,11 +252,6 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", thresh
     return out.select(*(F.col("row")[c].alias(c) for c in kept), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def held_out(id_col: Column, modulus: int, remainder: int) -> Column:
-    """crc32 of the id as text; a null id is not held out."""
-    return F.coalesce(F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(modulus)) == remainder, F.lit(False))
-
-
 def op10_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"), 4, 2))
