@@ -102,7 +102,9 @@ def judge_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
         F.array_sort(F.transform(keys, lambda h, i: F.struct(h.alias("h"), i.cast("long").alias("i")))).alias("ranked"),
         _score(weights).alias("score"),
     )
-    out = counted.select("row", "n_words", "word_chars", "n_symbols", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), F.expr(repeated).alias("n_repeat_words"), "score")
+    # a generator, so that no filter on its columns moves below it: there it would compute them inside array functions, for each element again
+    made = F.struct("n_words", "word_chars", "n_symbols", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), F.expr(repeated).alias("n_repeat_words"), "score")
+    out = counted.select("row", F.inline(F.array(made)))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     out = out.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("score") >= threshold))
     return out.select(*(F.col("row")[c].alias(c) for c in kept), *added)
