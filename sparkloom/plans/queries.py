@@ -634,11 +634,11 @@ def directional_bias(spark, sf):
 
 @query("""
 with o as (select c_nationkey, c_custkey, c_acctbal, row_number() over (partition by c_nationkey order by c_custkey)::double / 15::double as i from customer)
-select c_nationkey, c_custkey, case when count(*) over w = 15 then round(corr(c_acctbal, i) over w, 6) end as cc, case when count(*) over w = 15 then round(regr_slope(c_acctbal, i) over w, 1) end as slope from o
+select c_nationkey, c_custkey, case when count(*) over w = 15 then round(corr(c_acctbal, i) over w, 6) end as cc, case when count(*) over w = 15 then round(regr_slope(c_acctbal, i) over w / 7, 3) end as slope from o
 window w as (partition by c_nationkey order by c_custkey rows between current row and 14 following)""")
 def rolling_corr_slope(spark, sf):
     rows = _t(spark, sf, "customer").select("c_nationkey", "c_custkey", "c_acctbal")
-    return aggregates.rolling_fit(rows, ["c_nationkey"], "c_custkey", "c_acctbal", 15).select("c_nationkey", "c_custkey", _r("cc"), _r("slope", 1))
+    return aggregates.rolling_fit(rows, ["c_nationkey"], "c_custkey", "c_acctbal", 15).select("c_nationkey", "c_custkey", _r("cc"), F.round(F.col("slope") / 7, 3).alias("slope"))
 
 
 @query("""
@@ -696,3 +696,13 @@ def break_loop(spark, sf):
     measure = lambda m, i: coverage.coverage_ratio(coverage.interval_coverage(m, "key", "start", "end", 3600), i, "key", 3600)
     find = lambda r: coverage.find_breaks(r, "key", 864_000, 20, 40_000, -2.0)
     return split.break_loop(info, molecules, measure, find, 7200)[0]
+
+
+# ---- streams: the same functions take a stream of events
+
+
+@query("select event_type, (floor(epoch(ts) / 3600) * 3600)::bigint as start, count(*)::bigint as n, round(avg(value), 6) as mean from events group by 1, 2")
+def windowed_counts(spark, sf):
+    from ..streaming.windows import windowed_counts as counts
+
+    return counts(_t(spark, sf, "events"), "event_type", "ts", "value", "1 hour").select("event_type", "start", "n", _r("mean"))
