@@ -27,35 +27,34 @@ SYMBOLS = r"[#*$%&|<>]"
 
 
 def _hashes(docs: DataFrame) -> DataFrame:
-    """words, and their hashes as ids."""
+    """words; ids, their hashes; pairs, the hashes of two words in a row."""
     split = docs.withColumn("words", words_of(F.col("text")))
-    return split.withColumn("ids", F.transform("words", lambda w: F.xxhash64(w)))
+    return split.withColumn("ids", F.transform("words", lambda w: F.xxhash64(w))).withColumn("pairs", _joined("ids", 1))
+
+
+def _joined(hashes: str, apart: int) -> Column:
+    """Hash of each element and the one so far after it."""
+    h, n = F.col(hashes), F.size(hashes)
+    return F.when(n > apart, F.transform(F.sequence(F.lit(0), n - apart - 1), lambda i: F.xxhash64(F.get(h, i), F.get(h, i + apart)))).otherwise(F.array().cast("array<bigint>"))
 
 
 def _ngrams() -> Column:
-    """Buckets of all n-grams of a row of _hashes()."""
-    ids, n = F.col("ids"), F.size("ids")
-    pairs = F.when(n > 1, F.transform(F.sequence(F.lit(0), n - 2), lambda i: F.xxhash64(F.get(ids, i), F.get(ids, i + 1)))).otherwise(F.array().cast("array<bigint>"))
+    """Hashes of all n-grams of a row of _hashes()."""
     tails = F.transform("words", lambda w: F.xxhash64(F.right(w, F.lit(3)), F.lit(3)))
-    return F.concat(ids, pairs, tails)
+    return F.concat("ids", "pairs", tails)
 
 
 def _bucket(h: Column, buckets: int) -> Column:
     return F.pmod(h, F.lit(buckets)).cast("int")
 
 
-def repeated_words(ids: str, window: int = WINDOW) -> tuple[Column, str]:
-    """Expressions, in two steps that must stand in two projections: window keys, then words in windows found again."""
-    n = F.size(ids)
-    keys = F.when(n >= window, F.transform(F.sequence(F.lit(0), n - window), lambda i: F.xxhash64(*(F.get(F.col(ids), i + k) for k in range(window))))).otherwise(F.array().cast("array<bigint>"))
-    return keys, f"""
-      CASE WHEN size(array_distinct(ranked.h)) = size(ranked) THEN 0L ELSE
-        aggregate(
-          array_sort(transform(filter(ranked, (p, i) -> p.h = get(ranked, i - 1).h OR p.h = get(ranked, i + 1).h), p -> p.i)),
-          named_struct('upto', 0L, 'n', 0L),
-          (a, i) -> named_struct('upto', i + {window}L, 'n', a.n + i + {window}L - greatest(i, a.upto)),
-          a -> a.n)
-      END"""
+#: Of ranked, the windows (hash h, place i) in order of h: words in windows found again.
+_REPEATED = f"""
+  aggregate(
+    array_sort(transform(filter(ranked, (p, i) -> p.h = get(ranked, i - 1).h OR p.h = get(ranked, i + 1).h), p -> p.i)),
+    named_struct('upto', 0L, 'n', 0L),
+    (a, i) -> named_struct('upto', i + {WINDOW}L, 'n', a.n + i + {WINDOW}L - greatest(i, a.upto)),
+    a -> a.n)"""
 
 
 def bucket_weights(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> list[float]:
@@ -90,8 +89,9 @@ def judge_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in added]
     weights = bucket_weights(docs, trusted, id_col, text_col)
     rows = docs.select(F.struct(F.lit(True).alias("_"), *(quoted(c) for c in kept)).alias("row"), F.coalesce(quoted(text_col), F.lit("")).alias("text"))
-    hashed = _hashes(rows)
-    keys, repeated = repeated_words("ids")
+    # windows of eight are hashed from windows of four, and those from pairs
+    hashed = _hashes(rows).withColumn("fours", _joined("pairs", 2)).withColumn("eights", _joined("fours", 4))
+    ranked = F.array_sort(F.transform("eights", lambda h, i: F.struct(h.alias("h"), i.cast("long").alias("i"))))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(NOT_SPACES))
     counted = hashed.select(
         "row",
@@ -99,11 +99,11 @@ def judge_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         lines.alias("lines"),
-        F.array_sort(F.transform(keys, lambda h, i: F.struct(h.alias("h"), i.cast("long").alias("i")))).alias("ranked"),
+        F.when(F.size(F.array_distinct("eights")) < F.size("eights"), ranked).otherwise(F.array().cast("array<struct<h:bigint,i:bigint>>")).alias("ranked"),
         _score(weights).alias("score"),
     )
     # a generator, so that no filter on its columns moves below it: there it would compute them inside array functions, for each element again
-    made = F.struct("n_words", "word_chars", "n_symbols", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), F.expr(repeated).alias("n_repeat_words"), "score")
+    made = F.struct("n_words", "word_chars", "n_symbols", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), F.expr(_REPEATED).alias("n_repeat_words"), "score")
     out = counted.select("row", F.inline(F.array(made)))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     out = out.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("score") >= threshold))
