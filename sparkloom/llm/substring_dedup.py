@@ -33,6 +33,8 @@ WINDOW = 35
 BATCH_BYTES, BUCKET_BYTES = 12 << 20, 16 << 20
 #: A corpus that needs more buckets than this goes through in several rounds, each over a share of the buckets.
 MOST_BUCKETS = 1 << 15
+#: Tasks that the copies of one text are spread over when they meet their intervals.
+SALTS = 8
 #: The two bases (odd, 3 mod 8, so that their powers have the longest period) and the seed of word hashes.
 BASES, SEED = (0x9E3779B97F4A7C13, 0xC2B2AE3D27D4EB4B), 35
 
@@ -236,7 +238,11 @@ def dedup_substrings(docs: DataFrame, text_col: str = "text", window: int = WIND
     spans = repeated_spans(docs, text_col, window, **sizes)
     text = F.coalesce(quoted(text_col), F.lit(""))
     left = docs.select(F.struct(F.lit(True).alias("_"), *(quoted(c) for c in kept)).alias("row"), text.cast("binary").alias("data"), F.md5(text.cast("binary")).alias("digest"))
-    joined = left.join(spans.hint("shuffle_hash"), "digest", "left").select("row", "data", "removed_spans")
+    # copies of one text are dealt to SALTS tasks, and its few intervals to each of them
+    plain = [F.col("row")[c] for c, t in docs.dtypes if c in kept and c != text_col and "map<" not in t]
+    left = left.withColumn("salt", F.pmod(F.xxhash64(F.lit(0), *plain), F.lit(SALTS)).cast("int"))
+    salted = spans.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = left.join(salted.hint("shuffle_hash"), ["digest", "salt"], "left").select("row", "data", "removed_spans")
     out = joined.mapInArrow(_cut, joined.select("row").schema.add("n_words", "long").add("n_removed", "long").add("removed_spans", joined.schema["removed_spans"].dataType).add("kept_text", "string"))
     return out.select(*(F.col("row")[c].alias(c) for c in kept), *added)
 
