@@ -24,7 +24,7 @@ from ._util import quoted, table, words_of
 #: Weights of the sources in order, repeating; share of all words the mix has; most copies of a document.
 WEIGHTS, SHARE, EPOCHS = (5, 2, 1), 1.5, 2
 #: Rows in a range of a queue.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 5_000
 
 
 def source_targets(sources: DataFrame, weights: tuple[int, ...], share: float, epochs: int) -> DataFrame:

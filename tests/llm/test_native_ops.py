@@ -32,7 +32,7 @@ def mixed(spark, rows, **kw):
     return docs, mixing.mix_sources(docs, **kw)
 
 
-@pytest.mark.parametrize("range_rows", [20_000, 5])
+@pytest.mark.parametrize("range_rows", [5_000, 5])
 def test_mixing(spark, range_rows):
     rng = random.Random(1)
     rows = [(k, "w " * rng.randrange(0, 60), rng.choice(["a", "b", "c", "é", None, "hot", "hot", "hot"]), "s", 1) for k in range(400)]
