@@ -150,7 +150,10 @@ def hic_map(info: DataFrame, pairs: DataFrame, names: DataFrame, max_cm: float =
     ids = materialize(near.select(F.explode(F.array(F.struct(F.col("key1").alias("key"), F.col("at1").alias("pos"), F.col("b1").alias("b")), F.struct(F.col("key2").alias("key"), F.col("at2").alias("pos"), F.col("b2").alias("b")))).alias("x")).select("x.*").distinct().withColumn("id", F.xxhash64("key", "pos")))
     edges = near.select(F.xxhash64("key1", "at1").alias("a"), F.xxhash64("key2", "at2").alias("b")).select(F.least("a", "b").alias("item1"), F.greatest("a", "b").alias("item2")).groupBy("item1", "item2").agg((-F.log10(F.count("*"))).alias("weight"))
     cells = layout.make_supers(edges, ids.select(F.col("id").alias("key"), F.lit(0).cast("long").alias("chr"), F.col("b").cast("double").alias("cM"), F.lit(1).cast("long").alias("length")), known_ends=True)
-    signs = hic.bin_order_sign(cells.where("super_nbin > 1 and rank = 0").select(F.col("node").alias("id"), F.col("bin").alias("hic_bin")).join(ids.select("id", "key", "pos"), "id"))
+    on_path = cells.where("super_nbin > 1 and rank = 0").select(F.col("node").alias("id"), F.col("bin").alias("hic_bin")).join(ids.select("id", "key", "pos"), "id")
+    means = on_path.groupBy("key").agg(F.avg("hic_bin").alias("gbin")).join(placed, "key").join(info.select("key", "chr"), "key")
+    signs = hic.bin_order_sign(on_path).join(hic.neighbour_sign(means), "key", "left")
+    signs = signs.withColumn("orientation", (F.col("orientation") * F.coalesce("cc", F.lit(1))).cast("int"))
     oriented = materialize(info.join(placed, "key", "left").join(signs.select("key", "hic_cor", "orientation"), "key", "left"))
     table = materialize(layout.chromosome_agp(oriented, names, gap_size))
     return oriented, table, layout.chromosome_lengths(table, names)

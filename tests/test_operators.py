@@ -142,6 +142,12 @@ def test_path_properties(seed):
     assert sum(len(v) for v in tree.values()) == 2 * (n - 1)
     start = path.insert_nodes(graph, path.backbone(tree))
     end = path.relocate(graph, path.two_opt(graph, start))
+    moved = path.move_blocks(graph, end)
+    assert path.path_cost(graph, moved) <= path.path_cost(graph, end) + 1e-9
+    at = {x: i for i, x in enumerate(end)}
+    weak = [i for i in range(1, len(end)) if any(w < graph[end[i - 1]][end[i]] - 1e-12 for u in end[:i] for v, w in graph[u].items() if at.get(v, -1) >= i)]
+    assert path.weak_cuts(graph, end) == weak
+    end = moved
     assert sorted(end) == sorted(start) and len(set(end)) == len(end)
     assert all(b in graph[a] for a, b in zip(end, end[1:]))
     assert path.path_cost(graph, end) <= path.path_cost(graph, start) + 1e-9
@@ -169,8 +175,20 @@ def test_prune_leaves_paths(spark):
     assert 30 in {r.node for r in excluded.collect()}
 
 
+def test_blocks_move():
+    # 0 1 2 | 6 7 8 | 3 4 5 in the path; the edges 2-3 and 5-6 are cheap
+    edges = [(i, i + 1, 1.0) for i in range(8)] + [(2, 6, 5.0), (8, 3, 5.0), (5, 2, 9.0)]
+    graph = path.to_graph(edges)
+    assert path.move_blocks(graph, [0, 1, 2, 6, 7, 8, 3, 4, 5]) == list(range(9))
+
+
 # ---- contacts
 
+
+def test_neighbour_sign(spark):
+    items = spark.createDataFrame([(1, f"k{i}", i, float(g)) for i, g in enumerate([1, 2, 3, 2.5, 1])] + [(2, "only", 1, 1.0)], "chr int, key string, hic_bin int, gbin double")
+    assert dict(rows(hic.neighbour_sign(items), "key", "cc")) == {"k0": None, "k1": 1, "k2": 1, "k3": -1, "k4": None, "only": None}
+
 def test_poisson_fit_finds_coefficients():
     import numpy as np
 

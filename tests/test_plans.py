@@ -91,3 +91,21 @@ def test_hic_map(spark, genome):
     assert table.count() == 18
     inside = genome.pairs.select(F.lit("c").alias("chr1"), F.col("pos1").alias("start1"), F.lit("c").alias("chr2"), F.col("pos2").alias("start2"))
     assert plan.hic_coverage_of_map(inside, spark.createDataFrame([("c", 100_000)], "key string, length long"), 1000, 50_000).count() > 0
+
+
+def test_frames(spark, genome):
+    from sparkloom.plans import frames
+
+    a = plan.add_molecule_coverage(genome, 1000)
+    keys = spark.createDataFrame([(1,)], "key long")
+    got = frames.chimera_frame(a.molecule_cov, genome.markers.withColumn("chr", F.col("popseq_chr")), keys)
+    assert {r.kind for r in got.select("kind").distinct().collect()} == {"ratio", "marker"} and got.where("key <> 1").count() == 0
+    links = spark.createDataFrame([("a", 0, "b", 10, 1.0), ("a", 5, "b", 10, 100.0)], "chr1 string, bin1 long, chr2 string, bin2 long, nlinks_norm double")
+    assert sorted(r.colour for r in frames.contact_frame(links, 10).collect()) == [1, 10]
+    assert frames.contact_frame(links.limit(0)).count() == 0
+    offsets = spark.createDataFrame([("a", 0), ("b", 100)], "chr string, offset long")
+    assert sorted((r.at1, r.at2) for r in frames.genome_frame(links, offsets).collect()) == [(0, 110), (5, 110)]
+    flagged = spark.createDataFrame([("x", 5, True), ("y", 9, True), ("z", 99, False)], "key string, length long, bad boolean")
+    assert [r.key for r in frames.assignment_frame(flagged, "bad", 1).collect()] == ["y"]
+    lifted = spark.createDataFrame([(1, 50)], "super long, super_pos long")
+    assert frames.alignment_frame(lifted, spark.createDataFrame([(1, 100)], "super long, length long")).first().x == 0.5
