@@ -243,7 +243,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     spark, added = docs.sparkSession, ["n_words", "n_hit", "items", "spans", "contaminated"]
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in added]
     row = [quoted(c) for c in kept if c != text_col]
-    frame = docs.select(F.struct(F.lit(True).alias("_"), *row).alias("row"), quoted(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"), F.array().cast("array<string>").alias("items"), F.array().cast(SPANS).alias("spans"))
+    frame = docs.select(F.struct(F.lit(True).alias("__sparkloom_row"), *row).alias("row"), quoted(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"), F.array().cast("array<string>").alias("items"), F.array().cast(SPANS).alias("spans"))
     blocks = _blocks(benchmark, item_col, item_text_col, block_bytes)
     now = next(blocks)
     while now is not None:

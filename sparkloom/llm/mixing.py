@@ -74,7 +74,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in added]
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(quoted(id_col).cast("string"), F.lit("")), F.lit(":"), F.coalesce(quoted(source_col).cast("string"), F.lit(""))).cast("binary"))
     frame = docs.select(
-        F.struct(F.lit(True).alias("_"), *(quoted(c) for c in kept)).alias("row"),
+        F.struct(F.lit(True).alias("__sparkloom_row"), *(quoted(c) for c in kept)).alias("row"),
         quoted(source_col).cast("string").alias("__mix_source"),
         F.size(words_of(quoted(text_col))).cast("long").alias("size"),
         key.alias("__mix_key"),

@@ -88,7 +88,7 @@ def judge_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
     added = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in added]
     weights = bucket_weights(docs, trusted, id_col, text_col)
-    rows = docs.select(F.struct(F.lit(True).alias("_"), *(quoted(c) for c in kept)).alias("row"), F.coalesce(quoted(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.struct(F.lit(True).alias("__sparkloom_row"), *(quoted(c) for c in kept)).alias("row"), F.coalesce(quoted(text_col), F.lit("")).alias("text"))
     # windows of eight are hashed from windows of four, and those from pairs
     hashed = _hashes(rows).withColumn("fours", _joined("pairs", 2)).withColumn("eights", _joined("fours", 4))
     ranked = F.array_sort(F.transform("eights", lambda h, i: F.struct(h.alias("h"), i.cast("long").alias("i"))))

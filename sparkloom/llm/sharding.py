@@ -53,7 +53,7 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in added]
     text = F.coalesce(quoted(text_col), F.lit(""))
     digest = F.md5(F.concat(F.coalesce(quoted(id_col).cast("string"), F.lit("")), F.lit(":"), text).cast("binary"))
-    frame = docs.select(F.struct(F.lit(True).alias("_"), *(quoted(c) for c in kept)).alias("row"), F.octet_length(text).cast("long").alias("bytes"), F.conv(F.substring(digest, 1, BITS // 4), 16, 10).cast("long").alias("h"))
+    frame = docs.select(F.struct(F.lit(True).alias("__sparkloom_row"), *(quoted(c) for c in kept)).alias("row"), F.octet_length(text).cast("long").alias("bytes"), F.conv(F.substring(digest, 1, BITS // 4), 16, 10).cast("long").alias("h"))
     sizes = materialize(frame.groupBy("h").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("rows")))
     total = sizes.agg(F.sum("bytes")).first()[0] or 0
     depth, above, active, levels = min(BITS, max(0, (-(-total // limit) - 1).bit_length()) + SPARE_BITS), 0, sizes, []

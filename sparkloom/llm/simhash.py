@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE
     0.  A column named code is replaced.  keep: the columns to return, all if None.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() != "code"]
-    frame = docs.select(F.struct(F.lit(True).alias("_"), *(quoted(c) for c in kept)).alias("row"), quoted(text_col).alias("text"))
+    frame = docs.select(F.struct(F.lit(True).alias("__sparkloom_row"), *(quoted(c) for c in kept)).alias("row"), quoted(text_col).alias("text"))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -237,7 +237,7 @@ def dedup_substrings(docs: DataFrame, text_col: str = "text", window: int = WIND
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in added]
     spans = repeated_spans(docs, text_col, window, **sizes)
     text = F.coalesce(quoted(text_col), F.lit(""))
-    left = docs.select(F.struct(F.lit(True).alias("_"), *(quoted(c) for c in kept)).alias("row"), text.cast("binary").alias("data"), F.md5(text.cast("binary")).alias("digest"))
+    left = docs.select(F.struct(F.lit(True).alias("__sparkloom_row"), *(quoted(c) for c in kept)).alias("row"), text.cast("binary").alias("data"), F.md5(text.cast("binary")).alias("digest"))
     # copies of one text are dealt to SALTS tasks, and its few intervals to each of them
     plain = [F.col("row")[c] for c, t in docs.dtypes if c in kept and c != text_col and "map<" not in t]
     left = left.withColumn("salt", F.pmod(F.xxhash64(F.lit(0), *plain), F.lit(SALTS)).cast("int"))

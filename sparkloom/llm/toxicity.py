@@ -240,7 +240,7 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", thresh
     match does.  Columns of docs with one of the new names are replaced.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("score", "predicted")]
-    frame = docs.select(F.struct(F.lit(True).alias("_"), *(quoted(c) for c in kept)).alias("row"), quoted(text_col).alias("text"))
+    frame = docs.select(F.struct(F.lit(True).alias("__sparkloom_row"), *(quoted(c) for c in kept)).alias("row"), quoted(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer, w = Scorer(model.words), np.array(model.coefficients)

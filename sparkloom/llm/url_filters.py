@@ -91,7 +91,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, edges: DataFrame | None = Non
     decided = known.groupBy("component").agg(F.min("decision").alias("shared"))  # allow sorts before block
     by_alias = parts.join(decided, "component").select(F.col("node").alias("url"), "shared")
     verdicts = ruled.join(by_alias, "url", "full").select(F.col("url").alias("__url"), "rule", F.coalesce("decision", "shared").alias("found"))
-    frame = pages.select(F.struct(F.lit(True).alias("_"), *(quoted(c) for c in kept)).alias("row"), quoted(url_col).alias("__page"))
+    frame = pages.select(F.struct(F.lit(True).alias("__sparkloom_row"), *(quoted(c) for c in kept)).alias("row"), quoted(url_col).alias("__page"))
     out = frame.join(verdicts, F.col("__page") == F.col("__url"), "left")
     return out.select(*(F.col("row")[c].alias(c) for c in kept), host_of(F.col("__page")).alias("host"), path_of(F.col("__page")).alias("path"), "rule", F.coalesce("found", F.lit("allow")).alias("verdict"))
 
