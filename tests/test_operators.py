@@ -206,3 +206,32 @@ def test_reverse_ranges(spark):
     with pytest.raises(ValueError):
         hic.reverse_ranges(m, spark.createDataFrame([(1, 1, 2), (1, 2, 3)], "chr long, start long, end long"))
     assert rows(hic.flip(m, spark.createDataFrame([("a",), ("b",)], "key string")), "key", "orientation") == [("a", -1), ("b", -1), ("c", -1), ("d", 1)]
+
+
+def test_normalise_blocks(spark):
+    bins = spark.createDataFrame([(c, 100 * i, 50 + 7 * i, 0.4 + 0.01 * i, 1.0) for c in ("a", "b") for i in range(6)] + [("a", 900, 0, 0.5, 1.0)], "chr string, bin long, eff_length long, gc double, cov double")
+    rng = random.Random(1)
+    matrix = spark.createDataFrame([(x, 100 * i, y, 100 * j, rng.randrange(1, 9)) for x, y in (("a", "a"), ("a", "b"), ("b", "a")) for i in range(6) for j in range(6)] + [("a", 900, "a", 0, 5)], "chr1 string, bin1 long, chr2 string, bin2 long, nlinks long")
+    cis = hic.normalise(matrix, bins).collect()
+    assert len(cis) == 36 and all(r.chr1 == r.chr2 == "a" and r.nlinks_norm > 0 and r.dist == abs(r.bin1 - r.bin2) for r in cis)
+    trans = hic.normalise(matrix, bins, cis=False).collect()
+    assert len(trans) == 72 and all(r.dist is None for r in trans)
+    assert hic.normalise(matrix, bins, omit_smallest=2, percentile=0.1).count() < 36
+    assert hic.normalise(matrix.limit(0), bins).count() == 0
+    # expected counts over the fit average to about one
+    assert 0.5 < sum(r.nlinks_norm for r in trans) / len(trans) < 2
+
+
+def test_renumber_and_lengths(spark):
+    p = spark.createDataFrame([("s", 1, 10), ("s", 11, 20)], "name string, orig_start long, orig_end long")
+    assert rows(split.renumber(p, "name", F.lit(100), ["orig_start"]), "id", "name") == [(101, "s:1-10"), (102, "s:11-20")]
+    g = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (2, 2), (3, 9)], "g int, m int")
+    assert rows(relational.same_groups(g, g, "g", "m").where("g < same_as")) == [(1, 2)]
+    assert rows(relational.top_rows(g, ["g"], ["m"], 1), "g", "m") == [(1, 1), (2, 1), (3, 9)]
+
+
+def test_inversions(spark):
+    links = spark.createDataFrame([("a", 100 * i, 100 * j, 50.0 / (1 + abs(i - j)), 100 * abs(i - j)) for i in range(40) for j in range(40) if i != j], "chr1 string, bin1 long, bin2 long, nlinks_norm double, dist long")
+    bias = hic.directional_bias(links, spark.createDataFrame([("a", 4000)], "chr string, length long"))
+    trend, spread = hic.find_inversions(bias, spark.createDataFrame([("a", 1, "x"), ("a", 2001, "y")], "chr string, start long, component string"), 5)
+    assert trend.where("cc is not null").count() > 0 and {r.component for r in spread.collect()} == {"x", "y"}
