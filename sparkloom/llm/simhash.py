@@ -34,7 +34,7 @@ SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Codes in a shard that the number of blocks aims at, and the most in one tree.
 SHARD_CODES, TREE_CODES = 256, 16_384
 #: Pairs of query and node looked at in one step.
-FRONTIER = 1 << 21
+FRONTIER = 1 << 18
 
 
 def simhash(words: list[bytes], shingle: int = SHINGLE, seed: int = SEED) -> int:
