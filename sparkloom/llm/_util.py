@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,18 @@ def text_bytes(column: pa.ChunkedArray | pa.Array) -> Iterator[bytes]:
         yield b"" if buffer is None else buffer.to_pybytes()
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Smaller Arrow batches for what runs meanwhile: both the JVM and the Python worker hold a batch or two of whole texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, min(int(before), rows) if int(before) > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def total_bytes(docs: DataFrame, text: str = "text") -> int:
     """Bytes of text in docs: what the numbers of buckets and blocks are derived from."""
     return docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0

@@ -31,14 +31,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from ._util import LOWER, held_out, offsets, quoted, table, text_bytes, total_bytes
+from ._util import LOWER, arrow_rows, held_out, offsets, quoted, table, text_bytes, total_bytes
 
 #: Words clustered one by one; endings; classes, the first for the end of a document; rounds of exchange.
 CORE, ENDINGS, CLASSES, ROUNDS = 1024, 512, 64, 6
 #: Weight of the shorter history, in counts.
 BACK_OFF = 30.0
 #: Text in a batch, text for each vocabulary bucket, in bytes.
-BATCH_BYTES, BUCKET_BYTES = 16 << 20, 48 << 20
+BATCH_BYTES, BUCKET_BYTES = 8 << 20, 24 << 20
 UNITS = CORE + ENDINGS + 1
 END = UNITS - 1
 
@@ -330,7 +330,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     source = docs.select(quoted(id_col).alias("id"), (F.lit(False) if held is None else F.coalesce(held, F.lit(False))).alias("held_out"), quoted(text_col).alias("text"))
     kind = dict(source.dtypes)["id"]
-    encoded = materialize(source.mapInArrow(_encode(batch_bytes), f"batch long, docs array<struct<id:{kind},held_out:boolean,n:int>>, tokens binary, hashes binary, endings binary, counts binary"))
+    with arrow_rows(spark, 500):
+        encoded = materialize(source.mapInArrow(_encode(batch_bytes), f"batch long, docs array<struct<id:{kind},held_out:boolean,n:int>>, tokens binary, hashes binary, endings binary, counts binary"))
     buckets = max(1, -(-total_bytes(docs, text_col) // bucket_bytes))
     dealt = encoded.select("batch", "hashes", "endings", "counts").mapInArrow(_deal(buckets), "bucket int, batch long, hashes binary, endings binary, counts binary")
     replies = materialize(dealt.repartitionById(buckets, F.col("bucket")).mapInArrow(_vocabulary, _REPLY))
