@@ -24,11 +24,13 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         return pairs.select(F.col("a").alias("node"), F.col("a").alias("component"))
     loops = pairs.where(F.col("a").isNotNull() | F.col("b").isNotNull()).select(F.explode(F.array("a", "b")).alias("node")).where("node is not null").distinct()
     now = materialize(pairs.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    # rounds write few files: a task for each so many edges, and no more edges come later
+    tasks = max(6, now.count() // 100_000)
     for _ in range(max_rounds):
         if _settled(now):
             break
         large = _star(now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))), larger=True)
-        step = materialize(_star(large, larger=False))
+        step = materialize(_star(large, larger=False).coalesce(tasks))
         release(now)
         now = step
     else:
@@ -40,7 +42,7 @@ def _settled(edges: DataFrame) -> bool:
     """Whether every edge u -> v ends in a root: no node has two edges out, or one out and one in."""
     role = F.explode(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")), F.struct(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into"))))
     nodes = edges.select(role.alias("r")).select("r.*").groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
-    return nodes.where("out > 1 or (out = 1 and into = 1)").isEmpty()
+    return nodes.where("out > 1 or (out = 1 and into = 1)").count() == 0
 
 
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
