@@ -679,7 +679,7 @@ def path_order(spark, sf):
 @query()
 def prune_loop(spark, sf):
     found = _links(spark, sf)
-    return layout.prune(found, _part_info(spark, sf), rounds=20)[0].select("node", "super", "bin", "rank", "super_size")
+    return layout.prune(found, _part_info(spark, sf))[0].select("node", "super", "bin", "rank", "super_size")
 
 
 @query()
