@@ -25,8 +25,6 @@ QUERIES = {
 }
 ORACLE = {
     "op4_extendible_sharding": OP4_SQL,
-    "op5_brown_class_lm": op5_brown_class_lm,
-    "op6_quality_llr": op6_quality_llr,
     "op7_redirect_equivalence": OP7_SQL,
     "op8_fair_mixing": OP8_SQL,
 }
