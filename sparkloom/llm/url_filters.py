@@ -37,12 +37,18 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, _URL, 2), F.lit(""))
 
 
+def canonical_url(url: Column) -> Column:
+    """The url with scheme and host in lower case and without its fragment."""
+    site, whole = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1), F.regexp_replace(url, r"(?s)#.*$", "")
+    return F.concat(F.translate(site, _UPPER, _LOWER), F.substring(whole, F.length(site) + 1, F.length(whole)))
+
+
 def link_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(src, dst): each page's url and the targets of its canonical link and its meta refresh, made absolute."""
+    """(src, dst): each page's url and the targets of all its canonical links and meta refreshes, made absolute."""
     html = quoted(html_col)
-    canonical = F.regexp_extract(F.regexp_extract(html, _CANONICAL, 0), _HREF, 1)
-    refresh = F.regexp_extract(F.regexp_extract(html, _REFRESH, 0), _TARGET, 1)
-    found = pages.select(quoted(url_col).alias("src"), F.explode(F.array(canonical, refresh)).alias("to")).where("src is not null and to <> ''")
+    canonical = F.transform(F.regexp_extract_all(html, F.lit(_CANONICAL), F.lit(0)), lambda tag: F.regexp_extract(tag, _HREF, 1))
+    refresh = F.transform(F.regexp_extract_all(html, F.lit(_REFRESH), F.lit(0)), lambda tag: F.regexp_extract(tag, _TARGET, 1))
+    found = pages.select(quoted(url_col).alias("src"), F.explode(F.concat(canonical, refresh)).alias("to")).where("src is not null and to <> ''")
     to = F.replace(F.col("to"), F.lit("&amp;"), F.lit("&"))
     scheme, site = F.regexp_extract("src", r"(?s)^(.*?:)//", 1), F.regexp_extract("src", r"(?s)^(.*?://[^/?#]*)", 1)
     folder = F.regexp_extract("src", r"(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)", 1)
@@ -74,6 +80,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, edges: DataFrame | None = Non
     edges: (src, dst) of known redirects, besides those in the pages' html.  A
     url that a rule fits keeps that rule's verdict.  Any other is allowed if a rule
     allows one of its aliases, else blocked if a rule blocks one, else allowed.
+    Urls are compared with scheme and host in lower case and without fragments.
     A null url or one without '://' has empty host and path, fits no rule and is
     allowed, but is followed as an alias if it is not null.  Null html has no
     links; repeated pages each get a row.  Columns of pages with one of the new
@@ -84,15 +91,15 @@ def judge_urls(pages: DataFrame, rules: DataFrame, edges: DataFrame | None = Non
     links = link_edges(pages, url_col, html_col)
     if edges is not None:
         links = links.unionByName(edges.select("src", "dst"))
-    parts = connected_components(links)
-    urls = pages.select(quoted(url_col).alias("url")).where("url is not null").unionByName(parts.select(F.col("node").alias("url"))).distinct()
+    parts = connected_components(links.select(canonical_url(F.col("src")).alias("src"), canonical_url(F.col("dst")).alias("dst")))
+    urls = pages.select(canonical_url(quoted(url_col)).alias("url")).where("url is not null").unionByName(parts.select(F.col("node").alias("url"))).distinct()
     ruled = match_rules(urls, rules)
     known = parts.withColumnRenamed("node", "url").join(ruled, "url")
     decided = known.groupBy("component").agg(F.min("decision").alias("shared"))  # allow sorts before block
     by_alias = parts.join(decided, "component").select(F.col("node").alias("url"), "shared")
     verdicts = ruled.join(by_alias, "url", "full").select(F.col("url").alias("__url"), "rule", F.coalesce("decision", "shared").alias("found"))
     frame = pages.select(F.struct(F.lit(True).alias("__sparkloom_row"), *(quoted(c) for c in kept)).alias("row"), quoted(url_col).alias("__page"))
-    out = frame.join(verdicts, F.col("__page") == F.col("__url"), "left")
+    out = frame.join(verdicts, canonical_url(F.col("__page")) == F.col("__url"), "left")
     return out.select(*(F.col("row")[c].alias(c) for c in kept), host_of(F.col("__page")).alias("host"), path_of(F.col("__page")).alias("path"), "rule", F.coalesce("found", F.lit("allow")).alias("verdict"))
 
 
