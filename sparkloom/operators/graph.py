@@ -8,29 +8,39 @@ from pyspark.sql import functions as F
 from ..session import materialize, release
 
 
+#: A node with more than one in so many of all edges' ends is a hub; hence there are at most twice as many hubs.
+HUB_SHARE = 1_000
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
     """(node, component) of every node with an edge; component is the smallest node that can be reached.
 
     Large-star and small-star rounds: a node hands its larger neighbours, then
     its smaller ones, to the smallest node it knows of.  A round is two
-    aggregations by node and two joins, so no task holds the neighbours of a hub,
-    and long chains shrink by a factor each round.  Each round's edges are
+    aggregations by node and two joins.  The edges of a hub do not meet in the
+    join: hubs, at most 2 * HUB_SHARE of them whatever the graph, are broadcast with
+    their least neighbours, so a key of the shuffled join has at most one in HUB_SHARE
+    of the edges.  Long chains shrink by a factor each round.  Each round's edges are
     written to the shared checkpoint folder, which cuts the lineage and outlives
     executors.  Null ends and self-loops link nothing; a node with only those is
-    returned as its own component unless it is null.
+    returned as its own component unless it is null.  No edges give no rows.
     """
+    spark = edges.sparkSession
     pairs = materialize(edges.select(F.col(src).alias("a"), F.col(dst).alias("b")))
     if pairs.isEmpty():
         return pairs.select(F.col("a").alias("node"), F.col("a").alias("component"))
     loops = pairs.where(F.col("a").isNotNull() | F.col("b").isNotNull()).select(F.explode(F.array("a", "b")).alias("node")).where("node is not null").distinct()
     now = materialize(pairs.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    # rounds write few files: a task for each so many edges, and no more edges come later
-    tasks = max(6, now.count() // 100_000)
+    rows = now.count()
+    # small rounds write few files: one for so many edges, but no fewer than there are cores
+    files = max(spark.sparkContext.defaultParallelism, rows // 500_000)
+    few = files < int(spark.conf.get("spark.sql.shuffle.partitions"))
     for _ in range(max_rounds):
         if _settled(now):
             break
-        large = _star(now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))), larger=True)
-        step = materialize(_star(large, larger=False).coalesce(tasks))
+        large = _star(now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))), True, rows)
+        small = _star(large, False, rows)
+        step = materialize(small.repartition(files) if few else small)
         release(now)
         now = step
     else:
@@ -45,10 +55,13 @@ def _settled(edges: DataFrame) -> bool:
     return nodes.where("out > 1 or (out = 1 and into = 1)").count() == 0
 
 
-def _star(edges: DataFrame, larger: bool) -> DataFrame:
+def _star(edges: DataFrame, larger: bool, rows: int) -> DataFrame:
     """Of directed edges u -> v: link the larger (or the smaller and itself) neighbours of u to the least node among u and them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-    joined = edges.join(least, "u")
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("m", "u").alias("m"), "n")
+    hubs = least.where(F.col("n") > max(1, rows // HUB_SHARE)).select("u", F.col("m").alias("hub_m"))
+    marked = edges.join(F.broadcast(hubs), "u", "left")
+    plain = marked.where("hub_m is null").select("u", "v").join(least.select("u", "m"), "u")
+    joined = plain.unionByName(marked.where("hub_m is not null").select("u", "v", F.col("hub_m").alias("m")))
     if larger:
         out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:

@@ -235,3 +235,14 @@ def test_inversions(spark):
     bias = hic.directional_bias(links, spark.createDataFrame([("a", 4000)], "chr string, length long"))
     trend, spread = hic.find_inversions(bias, spark.createDataFrame([("a", 1, "x"), ("a", 2001, "y")], "chr string, start long, component string"), 5)
     assert trend.where("cc is not null").count() > 0 and {r.component for r in spread.collect()} == {"x", "y"}
+
+
+def test_spread_join_is_a_join(spark):
+    from sparkloom.operators.relational import spread_join
+
+    rows = spark.createDataFrame([(k % 7 if k % 3 else 0, k) for k in range(400)] + [(None, -k) for k in range(9)], "k int, x int")
+    table = spark.createDataFrame([(k, f"t{k}") for k in range(5)], "k int, t string")
+    for how in ("inner", "left", "left_semi"):
+        want = sorted(map(tuple, rows.join(table, "k", how).collect()), key=str)
+        assert sorted(map(tuple, spread_join(rows, table, "k", how, share=20).collect()), key=str) == want
+    assert spread_join(rows.limit(0), table, "k").count() == 0
