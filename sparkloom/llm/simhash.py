@@ -7,11 +7,14 @@ edges within r of its own distance.  No tree holds all fingerprints: codes are
 dealt to shards by the values of some of their bit blocks.  With b blocks, two
 codes that differ in r bits agree on at least b - r blocks, so a shard for each
 choice of b - r blocks and each value they take finds every link.  b grows with the
-number of codes so that shards stay small; a shard that is large all the same
-(a crowd of near copies) is cut into pieces, each piece a tree of bounded size
-that all codes of the shard are sent to.  A task builds the trees of its shards
-and sends on, not every linked pair, but a spanning forest of what it linked;
-connected components over those edges give the classes.
+number of codes so that shards stay small.  A shard that is large all the same (a
+crowd of near copies) is cut into pieces, each piece a tree of bounded size.  Codes
+first search their own piece; then those that are not in the shard's largest class
+search all its other pieces.  Two codes of different classes are never both in the
+largest, so no link between classes is lost, and a crowd of one class is not
+searched again.  A task builds the trees of its shards and sends on, not every
+linked pair, but a spanning forest of what it linked; connected components over
+those edges give the classes.
 """
 
 from __future__ import annotations
@@ -27,7 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
-from ..session import materialize
+from ..operators.relational import spread_join
+from ..session import materialize, release
 from ._util import LOWER, offsets, quoted, table, text_bytes
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -132,8 +136,8 @@ class Classes:
                 self.up = above
 
 
-def _link(radius: int):
-    """Rows (shard, tree, code, in_tree) of whole shards' pieces to a forest of links between their codes."""
+def _link(radius: int, members_ask: bool = True):
+    """Rows (shard, tree, code, in_tree) of whole pieces to a forest of links; codes in no tree search their piece's, members too if members_ask."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = [[], [], [], []]
@@ -152,7 +156,7 @@ def _link(radius: int):
         forest = Forest(code[nodes], piece[nodes])
         root_of = np.full(piece[-1] + 1, -1)
         root_of[piece[nodes]] = forest.root
-        asking = np.flatnonzero(root_of[piece] >= 0)
+        asking = np.flatnonzero((root_of[piece] >= 0) & (members_ask | ~inside))
         sizes = np.bincount(piece[nodes], minlength=piece[-1] + 1)[piece[asking]]
         distinct, number = np.unique(code, return_inverse=True)
         classes = Classes(len(distinct))
@@ -192,13 +196,26 @@ def near_links(codes: DataFrame, radius: int = RADIUS, shard_codes: int = SHARD_
     if n == 0:
         return codes.select(F.col("code").alias("src"), F.col("code").alias("dst"))
     shards = codes.select("code", F.explode(_shard_keys(F.col("code"), _blocks(n, radius, shard_codes), radius)).alias("shard"))
-    sizes = shards.groupBy("shard").agg(F.count("*").alias("n"))
-    large = sizes.where(F.col("n") > tree_codes).select("shard", F.ceil(F.col("n") / tree_codes).cast("int").alias("trees"))
-    plain = shards.join(sizes.where((F.col("n") > 1) & (F.col("n") <= tree_codes)).select("shard"), "shard", "left_semi").select("shard", F.lit(0).alias("tree"), "code", F.lit(True).alias("in_tree"))
-    cut = shards.join(large, "shard").withColumn("own", F.pmod(F.xxhash64("code"), F.col("trees")).cast("int"))
-    cut = cut.select("shard", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)).alias("tree"), "code", "own").select("shard", "tree", "code", (F.col("own") == F.col("tree")).alias("in_tree"))
-    dealt = plain.unionByName(cut).repartition(_tasks(codes, n), "shard", "tree")
-    return dealt.mapInArrow(_link(radius), "src long, dst long")
+    sizes = materialize(shards.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1"))
+    cut = sizes.select("shard", F.ceil(F.col("n") / tree_codes).cast("int").alias("trees"))
+    own = F.pmod(F.xxhash64("code"), F.col("trees")).cast("int").alias("tree")
+    dealt = shards.join(cut, "shard").select("shard", own, "code", F.lit(True).alias("in_tree"))
+    tasks, kind = _tasks(codes, n), "src long, dst long"
+    links = materialize(dealt.repartition(tasks, "shard", "tree").mapInArrow(_link(radius), kind))
+    if cut.agg(F.max("trees")).first()[0] in (None, 1):
+        return links
+    classes = materialize(connected_components(links).select(F.col("node").alias("code"), "component"))
+    crowded = cut.where("trees > 1")
+    members = materialize(shards.join(crowded, "shard").join(classes, "code", "left").select("shard", "trees", own, "code", F.coalesce("component", "code").alias("class")))
+    of_class = members.groupBy("shard", "class").agg(F.count("*").alias("n"))
+    main = of_class.groupBy("shard").agg(F.max(F.struct("n", "class")).alias("most"), F.count("*").alias("classes")).where("classes > 1").select("shard", F.col("most.class").alias("main"))
+    open_shards = materialize(spread_join(members, main, "shard"))
+    asking = open_shards.where("class <> main").select("shard", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)).alias("other"), F.col("tree").alias("own"), "code").where("other <> own")
+    trees = open_shards.select("shard", "tree", "code", F.lit(True).alias("in_tree")).unionByName(asking.select("shard", F.col("other").alias("tree"), "code", F.lit(False).alias("in_tree")))
+    between = materialize(trees.repartition(tasks, "shard", "tree").mapInArrow(_link(radius, False), kind))
+    for done in (sizes, classes, members, open_shards):
+        release(done)
+    return links.unionByName(between)
 
 
 def _tasks(codes: DataFrame, n: int) -> int:
@@ -209,19 +226,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, fingerprint, component_id): component_id is the smallest id among the documents linked, over any number of links.
 
     Documents link if their SimHash codes differ in at most `radius` bits; those
-    without words all have code 0 and link like any other.  Repeated rows and
-    repeated ids stay as they are, one row each.  A null id is never the smallest;
-    a class of only null ids has a null component_id.  Other columns of docs play
-    no part, whatever their names.  Codes are written once to the shared
-    checkpoint folder, since both the search and the result read them.
+    without words all have code 0 and link like any other.  Texts of any length
+    are hashed whole, 32,768 shingles at a time.  Repeated rows, repeated ids and
+    ties stay as they are, one row each.  A null id is never the smallest; a class of
+    only null ids has a null component_id.  An empty table gives no rows.  Other
+    columns of docs play no part, whatever their names.  Codes are written once to
+    the shared checkpoint folder, since both the search and the result read them;
+    rows of one code, and codes of one class, are spread over tasks when they meet it.
     """
     coded = materialize(fingerprints(docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")), "text", shingle, ["id"]))
     least = materialize(coded.groupBy("code").agg(F.min("id").alias("least")))
     parts = connected_components(near_links(least.select("code"), radius, **sizes))
-    class_of = least.join(parts.withColumnRenamed("node", "code"), "code", "left").withColumn("component", F.coalesce("component", "code"))
+    class_of = materialize(least.join(parts.withColumnRenamed("node", "code"), "code", "left").withColumn("component", F.coalesce("component", "code")))
+    release(least)
     smallest = class_of.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = class_of.join(smallest, "component").select("code", "component_id")
-    out = coded.join(named, "code")
+    named = materialize(spread_join(class_of, smallest, "component").select("code", "component_id"))
+    release(class_of)
+    out = spread_join(coded, named, "code")
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint"), "component_id")
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
+from ..operators.relational import spread_join
+from ..session import materialize
 from ._util import quoted, table
 
 #: The rules of op7, as (verdict, host, path).
@@ -82,24 +84,29 @@ def judge_urls(pages: DataFrame, rules: DataFrame, edges: DataFrame | None = Non
     allows one of its aliases, else blocked if a rule blocks one, else allowed.
     Urls are compared with scheme and host in lower case and without fragments.
     A null url or one without '://' has empty host and path, fits no rule and is
-    allowed, but is followed as an alias if it is not null.  Null html has no
-    links; repeated pages each get a row.  Columns of pages with one of the new
-    names are replaced.  keep: the columns to return, all if None.
+    allowed, but is followed as an alias if it is not null.  Null or empty html has no
+    links, very long html is searched whole; repeated pages each get a row, and rules
+    of one length and text that disagree allow.  No pages give no rows, no rules allow
+    all.  Columns of pages with one of the new names are replaced.  The rows of a
+    common url, and the urls of a large component, are spread over tasks; pages must
+    give the same partitions each time it is read.  keep: the columns to return, all if
+    None.
     """
     added = ("host", "path", "rule", "verdict")
     kept = [c for c in (pages.columns if keep is None else keep) if c.lower() not in added]
     links = link_edges(pages, url_col, html_col)
     if edges is not None:
         links = links.unionByName(edges.select("src", "dst"))
-    parts = connected_components(links.select(canonical_url(F.col("src")).alias("src"), canonical_url(F.col("dst")).alias("dst")))
+    parts = materialize(connected_components(links.select(canonical_url(F.col("src")).alias("src"), canonical_url(F.col("dst")).alias("dst"))))
     urls = pages.select(canonical_url(quoted(url_col)).alias("url")).where("url is not null").unionByName(parts.select(F.col("node").alias("url"))).distinct()
     ruled = match_rules(urls, rules)
     known = parts.withColumnRenamed("node", "url").join(ruled, "url")
     decided = known.groupBy("component").agg(F.min("decision").alias("shared"))  # allow sorts before block
-    by_alias = parts.join(decided, "component").select(F.col("node").alias("url"), "shared")
+    by_alias = spread_join(parts, decided, "component").select(F.col("node").alias("url"), "shared")
     verdicts = ruled.join(by_alias, "url", "full").select(F.col("url").alias("__url"), "rule", F.coalesce("decision", "shared").alias("found"))
-    frame = pages.select(F.struct(F.lit(True).alias("__sparkloom_row"), *(quoted(c) for c in kept)).alias("row"), quoted(url_col).alias("__page"))
-    out = frame.join(verdicts, canonical_url(F.col("__page")) == F.col("__url"), "left")
+    page = canonical_url(quoted(url_col)).alias("__url")
+    frame = pages.select(F.struct(F.lit(True).alias("__sparkloom_row"), *(quoted(c) for c in kept)).alias("row"), quoted(url_col).alias("__page"), page)
+    out = spread_join(frame, verdicts, "__url", "left", counted=pages.select(page))
     return out.select(*(F.col("row")[c].alias(c) for c in kept), host_of(F.col("__page")).alias("host"), path_of(F.col("__page")).alias("path"), "rule", F.coalesce("found", F.lit("allow")).alias("verdict"))
 
 
