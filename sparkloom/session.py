@@ -31,10 +31,12 @@ def get_spark(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "sp
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; only where that is unset (tests, one machine) a temporary one."""
+    """The folder named by spark.checkpoint.dir; only where that is unset and all runs on one machine (tests) a temporary one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_DIR:
         _OWN_DIR[app] = tempfile.mkdtemp(prefix="sparkloom-")
@@ -56,6 +58,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return out
 
 
+def repeatable(df: DataFrame) -> DataFrame:
+    """df if reading it again gives the same rows in the same partitions, as far as its plan shows; else a copy that does.
+
+    What is shuffled or sampled may come in another order when a lost task runs again.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return materialize(df) if any(node in plan for node in ("Exchange", "Sample")) else df
+
+
 def release(df: DataFrame | None) -> None:
     """Delete the table behind a materialize() result that nothing reads any more."""
     path = getattr(df, "_sparkloom_path", None)
