@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from sparkloom.llm import class_lm as op
@@ -28,10 +29,107 @@ def compare(got, want):
 
 
 def test_packing():
-    for values in ([], [0], [1, 255, 256, 2**32 - 1]):
+    for values in ([], [0], [1, 255, 256, 2**32 - 1], [5 * 10**11, 2**62]):
         assert op.unpack(op.pack(np.array(values, np.int64))).tolist() == values
 
 
+def brute_scores(docs, core=op.CORE, passes=op.PASSES, least=op.LEAST):
+    """The model word by word; only exchange() is the module's, which has a test of its own."""
+    split = [(h, bytes(b + 32 if 65 <= b <= 90 else b for b in (t or "").encode()).split()) for _, h, t in docs]
+    count = collections.Counter(w for h, words in split if not h for w in words)
+    ends = sum(not h for h, _ in split)
+    digest = lambda w: xxhash.xxh64_intdigest(w)
+    common = {w: i for i, w in enumerate(sorted(count, key=lambda w: (-count[w], digest(w)))[:core])}
+    unit = lambda w: 1536 if w is None else common.get(w, 1024 + xxhash.xxh64_intdigest(w.decode()[-3:].encode(), 3) % 512)
+    training = [w for h, words in split if not h for w in [*words, None]]
+    pairs = list(zip([None, *training], training))
+    tally = collections.Counter((unit(a), unit(b)) for a, b in pairs)
+    rows, cols = (np.array([k[i] for k in sorted(tally)], np.int64).reshape(-1) for i in (0, 1))
+    of = op.exchange(rows, cols, np.array([tally[k] for k in sorted(tally)], np.int64), 1537, 64, end=1536)
+    kind = {w: int(of[unit(w)]) for w in {w for _, words in split for w in words}} | {None: 0}
+    for _ in range(passes):
+        table_of = np.full((64, 64), 0.5)
+        for a, b in pairs:
+            table_of[kind[a], kind[b]] += 1
+        log_of = lambda x: math.log(x)
+        left, right = table_of.sum(1), table_of.sum(0)
+        whole = lambda x: round(4096 * x)
+        after, before, itself = (collections.defaultdict(collections.Counter) for _ in range(3))
+        for a, b in pairs:
+            if a == b and a is not None:
+                itself[a][0] += 1
+            else:
+                after[a][kind[b]] += 1
+                before[b][kind[a]] += 1
+        new = dict(kind)
+        for w in count:
+            if count[w] >= least:
+                def worth(k):
+                    x = sum(n * whole(log_of(table_of[k, c]) - log_of(left[k])) for c, n in after[w].items())
+                    x += sum(n * whole(log_of(table_of[c, k]) - log_of(right[k])) for c, n in before[w].items())
+                    return x + itself[w][0] * whole(log_of(table_of[k, k]) - log_of(left[k]) - log_of(right[k]))
+
+                best = max(range(1, 64), key=lambda k: (worth(k), -k))
+                new[w] = best if worth(best) > worth(kind[w]) else kind[w]
+        kind = new
+    triples = np.zeros((64, 64, 64))
+    two, one = 0, 0
+    for w in training:
+        triples[two, one, kind[w]] += 1
+        two, one = (0, 0) if w is None else (one, kind[w])
+    single, double = triples.sum((0, 1)), triples.sum(0)
+    p1 = (single + 1) / (single.sum() + 64)
+    p2 = (double + 30 * p1) / (double.sum(1, keepdims=True) + 30)
+    p3 = (triples + 30 * p2[None]) / (triples.sum(2, keepdims=True) + 30)
+    room = single + np.bincount([kind[w] for w in count], minlength=64) + 1
+    out = []
+    for h, words in split:
+        total, two, one = 0.0, 0, 0
+        for w in [*words, None]:
+            total += math.log10(p3[two, one, kind[w]]) + (math.log10((count[w] + 1) / room[kind[w]]) if w is not None else 0.0)
+            two, one = one, kind[w]
+        out.append(total)
+    return out, (p3, kind, room, count, ends)
+
+
+def language(n=120, seed=5):
+    """Texts with some structure: words of a few kinds follow one another."""
+    rng = random.Random(seed)
+    kinds = [[f"{a}{i}{z}" for i in range(9)] for a, z in (("N", "on"), ("v", "es"), ("d", "e"), ("p", "on"))]
+    return [(k if k % 11 else None, k % 4 == 0, " ".join(rng.choice(kinds[(j + rng.randrange(2)) % 4]) for j in range(rng.choice([0, 3, 25, 60])))) for k in range(n)]
+
+
+@pytest.mark.parametrize("how", [{}, {"core": 6}, {"core": 6, "passes": 0}, {"core": 3, "passes": 3, "least": 1}])
+def test_scores_of_the_model(spark, how):
+    docs = language()
+    frame = spark.createDataFrame(docs, "doc_id long, h boolean, text string")
+    want = collections.Counter((d, h, round(s, 7)) for (d, h, _), s in zip(docs, brute_scores(docs, **how)[0]))
+    for sizes in ({}, {"batch_bytes": 900, "bucket_bytes": 700}):
+        got = op.score_texts(frame, held=F.col("h"), **sizes, **how).collect()
+        assert collections.Counter((r.doc_id, r.held_out, round(r.score, 7)) for r in got) == want
+
+
+def test_scores_are_a_distribution():
+    """Over all words the model knows, one unseen word of each class and the end, probabilities after any history add up to one at most, and to one where every class has its unseen word."""
+    p3, kind, room, count, _ = brute_scores(language())[1]
+    known = {k: sum(count[w] + 1 for w in count if kind[w] == k) + 1 for k in range(1, 64)}
+    for two, one in ((0, 0), (0, 5), (7, 9), (63, 1)):
+        total = p3[two, one, 0] + sum(p3[two, one, k] * known[k] / room[k] for k in range(1, 64))
+        assert total == pytest.approx(1.0)
+
+
+def test_counts_beyond_32_bits():
+    """A bucket's totals and a pass's choice with counts that no 32-bit number holds."""
+    hashes, endings, counts = np.array([5, 9], np.uint64), np.array([1, 2]), np.array([3 * 10**11, 2])
+    rows = [(0, name, hashes.tobytes(), op.pack(endings), op.pack(counts)) for name in (1, 2)]
+    batch = op._table(rows, op._DEALT, (op.pa.int32(), op.pa.int64(), op.pa.binary(), op.pa.binary(), op.pa.binary()))
+    out = [r for b in op._vocabulary(10, 3)(iter([batch])) for r in b.to_pylist()]
+    assert [op.unpack(r["counts"]).tolist() for r in out if r["kind"] == 1] == [[6 * 10**11, 4]] * 2
+    assert {(r["hash"], r["n"]) for r in out if r["kind"] == 2} == {(5, 6 * 10**11), (9, 4)}
+    pairs = np.full((64, 64), 10**13)
+    assert int(np.abs(op.gains(pairs)).max()) * 2 * 10**13 < 2**63  # a word's pairs on either side
+
+
 def likelihood(rows, cols, n, of, classes):
     m = np.zeros((classes, classes))
     np.add.at(m, (of[rows], of[cols]), n)
@@ -61,21 +159,17 @@ def test_small_tables(spark, sizes):
     frame = spark.createDataFrame([(*d, 1, "c") for d in docs], "doc_id long, h boolean, text string, id int, batch string")
     got = op.score_texts(frame, held=F.col("h"), **sizes).collect()
     compare(got, brute(docs))
-    assert all(r.score < 0 for r in got)
+    assert sorted(round(r.score, 6) for r in got) == sorted(round(x, 6) for x in brute_scores(docs)[0])
     none = op.score_texts(frame, held=F.lit(True)).collect()
     assert {(r.n_known, r.train_tokens, r.base_score) for r in none} == {(0, 0, 0.0)}
     assert op.score_texts(frame.limit(0)).count() == 0
 
 
-def test_model_is_a_distribution(spark):
-    docs = spark.createDataFrame([(k, " ".join(random.Random(k).choices(["aa", "bb", "cc", "dd."], k=20))) for k in range(30)], "doc_id long, text string")
-    held = F.col("doc_id") >= 30
-    # all words after the history "aa", plus the end, plus one unseen word of each class that has words
-    probes = spark.createDataFrame([(30 + i, f"aa {w}".strip()) for i, w in enumerate(["aa", "bb", "cc", "dd."])], "doc_id long, text string")
-    rows = {r.doc_id: r.score for r in op.score_texts(docs.unionByName(probes), held=held).collect()}
-    assert all(s < 0 for s in rows.values())
-    smooth = 10 ** op._smooth(np.random.default_rng(0).integers(0, 3, (op.CLASSES,) * 3))
-    assert np.allclose(smooth.sum(2), 1)
+def test_passes_raise_the_likelihood(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    total = [op.score_texts(docs, passes=n, least=1).agg(F.sum("score")).first()[0] for n in (0, 1, 2)]
+    print("log10 likelihood by passes", total)
+    assert total[0] < total[1] < total[2]
 
 
 def test_query(spark, sf):
