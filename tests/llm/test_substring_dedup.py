@@ -40,13 +40,15 @@ def test_places_round_trip():
         assert op.unpack_places(op.pack_places(np.array(places, np.int64))).tolist() == places
 
 
-@pytest.mark.parametrize("sizes", [{}, {"batch_bytes": 50, "bucket_bytes": 100}, {"batch_bytes": 400, "bucket_bytes": 300, "most_buckets": 3}])
+@pytest.mark.parametrize("sizes", [{}, {"batch_bytes": 50, "bucket_bytes": 100}, {"batch_bytes": 400, "bucket_bytes": 300, "step_hashes": 20}, {"batch_bytes": 1, "step_hashes": 7, "share": 3}])
 def test_against_brute_force(spark, sizes):
     rng = random.Random(5)
     word = lambda: rng.choice(["a", "B", "b", "é", "cc", "x.", " z"])
     texts = [rng.choice([" ", "\t", "\n\n", "\x0b", "\x1c"]).join(word() for _ in range(rng.choice([0, 1, 5, 6, 30, 200]))) for _ in range(60)]
     texts += [texts[4], texts[5], texts[5], None, None, "", " " * 50, "w " * 4000, "q r s t u v w x"]
     docs = spark.createDataFrame([(k if k % 7 else None, t, "old") for k, t in enumerate(texts)], "doc_id long, text string, n_words string")
+    if "share" in sizes:  # in an order of its own
+        docs = docs.repartition(5)
     got = op.dedup_substrings(docs, window=6, **sizes)
     assert got.columns == ["doc_id", "text", "n_words", "n_removed", "removed_spans", "kept_text"]
     rows = sorted((r.text or "", r.n_words, r.n_removed, r.kept_text) for r in got.collect())
