@@ -6,9 +6,12 @@ turn and a limited history, then takes as many new turns as the token budget
 leaves room for.  Only new assistant texts are under the loss mask, so every
 target is trained on once.
 
-A long conversation is cut into blocks of turn numbers, which are formatted
-apart; a block gets the system turn and the last turns of the block before it,
-so no task holds a whole conversation.
+A conversation of more turns than a block is cut into blocks by position, which are
+formatted apart: a window ends where its block does.  A block gets the system turn
+and, as history, as many of the turns before it as the history has tokens, which is
+all that it can repeat.  Positions come from a sort over ranges of (conversation,
+turn), so neither a long conversation nor a crowd of rows with one or no turn number
+is held, sorted or formatted by one task.
 """
 
 from __future__ import annotations
@@ -23,10 +26,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators.relational import spread_join
+from ..session import materialize, repeatable
 from ._util import offsets, quoted, table
 
-#: Tokens in a window, tokens of repeated history; turn numbers in a block, turns of the block before that a block gets.
-BUDGET, HISTORY, BLOCK_TURNS, BLOCK_HISTORY = 2048, 256, 1024, 16
+#: Tokens in a window, tokens of repeated history; turns in a block (the tokens of the history, if that is more).
+BUDGET, HISTORY, BLOCK_TURNS = 2048, 256, 1024
+#: Most long conversations whose ids are broadcast; the rows of more are marked by a join.
+MOST_LONG = 10_000
 SYSTEM, TARGET = "system", "assistant"
 _TURN = re.compile(r"### ((?:\\.|[^\\:])*): ((?:\\.|[^\\])*?) </turn>\n", re.S)
 _TOKEN = re.compile(r"\w+|[^\w\s]")
@@ -85,29 +92,50 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     conversation are ordered by turn, nulls last; ties by role, then text, so
     repeated rows are repeated turns.  A null text or role is empty; null is a
     conversation like any other.  A system turn is repeated only if it is the
-    conversation's first.  Other columns play no part, whatever their names.
+    conversation's first.  A text of any length is one turn; over the budget, it has a
+    window to itself.  An empty table gives no rows.  Other columns play no part, whatever
+    their names.  counter: tokens of a line, one at least.
     """
-    kind = dict(turns.dtypes)[conv_col]
-    rows = turns.select(
+    kind, block_turns = dict(turns.dtypes)[conv_col], max(block_turns, history)
+    order = ["conv", "last", "turn", "role", "text"]
+    rows = repeatable(turns).select(
         quoted(conv_col).alias("conv"),
-        F.coalesce(F.floor(quoted(turn_col) / block_turns).cast("long"), F.lit(1 << 40)).alias("block"),
+        quoted(turn_col).isNull().alias("last"),
         quoted(turn_col).cast("long").alias("turn"),
         F.coalesce(quoted(role_col).cast("string"), F.lit("")).alias("role"),
         F.coalesce(quoted(text_col), F.lit("")).alias("text"),
+        F.coalesce(F.concat(F.lit("="), quoted(conv_col).cast("string")), F.lit("")).alias("key"),
     )
-    blocks = rows.groupBy("conv", "block").agg(F.count("*").alias("n"))
-    later = blocks.withColumn("least", F.min("block").over(Window.partitionBy("conv"))).where("block > least").select(F.col("conv").alias("c"), F.col("block").alias("b"))
-    start = F.min(F.struct(F.col("turn").isNull().alias("last"), "turn", "role", "text")).alias("s")
-    heads = rows.join(later.select(F.col("c")).distinct(), F.col("conv").eqNullSafe(F.col("c")), "left_semi").groupBy("conv").agg(start).where(F.col("s.role") == SYSTEM)
-    system = heads.join(later, F.col("conv").eqNullSafe(F.col("c"))).select("conv", F.col("b").alias("block"), "s.turn", "s.role", "s.text", F.lit(0).alias("part"))
-    tail = rows.where(F.pmod("turn", F.lit(block_turns)) >= block_turns - BLOCK_HISTORY).select("conv", (F.col("block") + 1).alias("block"), "turn", "role", "text", F.lit(1).alias("part"))
-    whole = rows.withColumn("part", F.lit(2)).unionByName(system).unionByName(tail)
-    order = ["conv", "block", "part", F.col("turn").asc_nulls_last(), "role", "text"]
-    dealt = whole.repartition("conv", "block").sortWithinPartitions(*order)
+    long = materialize(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block_turns))
+    n_long = long.count()
+    one_block = [*order, F.lit(0).cast("long").alias("block"), F.lit(2).alias("part")]
+    whole = rows.select(*one_block)
+    if n_long:
+        marked = rows.join(F.broadcast(long), "key", "left") if n_long <= MOST_LONG else spread_join(rows, long, "key", "left")
+        whole = marked.where("n is null").select(*one_block).unionByName(_blocks(marked.where("n is not null"), order, block_turns, history).select(*whole.columns))
+    dealt = whole.repartition("conv", "block").sortWithinPartitions("conv", "block", "part", *order[1:]).select("conv", "block", "part", "turn", "role", "text")
     out = dealt.mapInArrow(_formatter(budget, history, counter), _WINDOWS.format(kind=kind))
     return out.withColumnRenamed("conv", conv_col)
 
 
+def _blocks(rows: DataFrame, order: list[str], block_turns: int, history: int) -> DataFrame:
+    """Rows of long conversations with block and part: 0 the system turn, 1 the turns before the block, 2 its own."""
+    rows = rows.withColumn("nth", F.monotonically_increasing_id())  # so that a crowd of equal rows has bounds inside it
+    by = [F.col(c) for c in (*order, "nth")]
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(rows.repartitionByRange(tasks, *by).sortWithinPartitions(*by).withColumns({"at": F.monotonically_increasing_id(), "range": F.spark_partition_id()}))
+    stretches = ranged.groupBy("key", "range").agg(F.min("at").alias("first"), F.count("*").alias("held"))
+    before = Window.partitionBy("key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    stretches = stretches.select("key", "range", (F.coalesce(F.sum("held").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    placed = ranged.join(stretches, ["key", "range"]).withColumn("place", F.col("at") + F.col("shift"))
+    placed = placed.withColumn("block", F.floor(F.col("place") / block_turns).cast("long"))
+    last = F.floor((F.col("n") - 1) / block_turns).cast("long")
+    own = placed.withColumn("part", F.lit(2))
+    tail = placed.where((F.col("place") % block_turns >= block_turns - history) & (F.col("block") < last)).withColumn("block", F.col("block") + 1).withColumn("part", F.lit(1))
+    system = placed.where((F.col("place") == 0) & (F.col("role") == SYSTEM)).withColumn("block", F.explode(F.sequence(F.lit(1).cast("long"), last))).withColumn("part", F.lit(0))
+    return own.unionByName(tail).unionByName(system)
+
+
 def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, Iterator[tuple]]]:
     """Runs of rows that share their first `keys` columns; holds one run at most."""
     now, held = None, []
@@ -124,9 +152,10 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tupl
 
 def _formatter(budget: int, history: int, counter: Callable[[str], int]):
     def windows_of(conv, block: int, rows: list[tuple]) -> Iterator[tuple]:
-        system = next((r for r in rows if r[3] == 0), None)
-        body = [r for r in rows if r[3] > 0]
-        first = sum(r[3] == 1 for r in body)
+        """rows: (part, turn, role, text)."""
+        system = next((r[1:] for r in rows if r[0] == 0), None)
+        first = sum(r[0] == 1 for r in rows)
+        body = [r[1:] for r in rows if r[0] > 0]
         if first == len(body):
             return
         if system is None and first == 0 and body[0][1] == SYSTEM:
@@ -179,7 +208,9 @@ def _formatter(budget: int, history: int, counter: Callable[[str], int]):
 def read_back(windows: DataFrame, conv_col: str = "conv_id") -> DataFrame:
     """Per conversation, parsed from formatted windows: n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars.
 
-    The digests are fed window by window, in order; no conversation is held whole.
+    The digests are fed window by window, in order; no conversation is held whole, but as a
+    digest is of one sequence of bytes, all windows of a conversation pass through one task.
+    No windows give no rows.
     """
     kind = dict(windows.dtypes)[conv_col]
     source = windows.select(quoted(conv_col).alias("conv"), "block", "window", "text", "n_repeated", "loss")

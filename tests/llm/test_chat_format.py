@@ -72,3 +72,36 @@ def test_query(spark, sf):
     rows += [(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)]
     got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in op.op3_chat_windows(spark, sf).collect()}
     assert got == brute(rows)
+
+
+@pytest.mark.parametrize("turn", [lambda t: t, lambda t: None, lambda t: 7, lambda t: 1000 * t])
+def test_history_goes_by_tokens_across_blocks(spark, turn):
+    """Whatever the turn numbers: a window repeats as many turns as the history has tokens for, at a block's begin as anywhere."""
+    rng = random.Random(6)
+    rows = [("c", turn(t) if t else (None if turn(1) is None else 0), "system" if t == 0 else rng.choice(["assistant", "user"]), "" if t == 0 else "ab " * rng.randrange(9) + f"{t:05d}") for t in range(900)]
+    rows += [("c", turn(9), "user", "alike")] * 90 + [(None, turn(t), "user", f"n{t}") for t in range(400)] + [("short", 1, "user", "x")]
+    frame = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string").repartition(4)
+    windows = op.format_chats(frame, budget=160, history=70, block_turns=100)
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in op.read_back(windows).collect()}
+    assert got == brute(rows)
+    of = {}
+    for w in windows.collect():
+        of.setdefault(w.conv_id, []).append(w)
+    assert len({w.block for w in of["c"]}) == 10 and len({w.block for w in of[None]}) == 4
+    for held in of.values():
+        held.sort(key=lambda w: (w.block, w.window))
+        sizes, seen, system = [], 0, held[0].text.startswith("### system")
+        for w in held:
+            lines = [op.count_tokens(op.render(*t)[0]) for t in op.parse(w.text)]
+            if sizes or not system:
+                lines = lines[system:]
+            repeated = w.n_repeated - (system and bool(sizes))
+            old = sizes[len(sizes) - repeated :] if repeated else []
+            assert lines[:repeated] == old and sum(old) <= 70
+            if len(sizes) > repeated + system:
+                more = sum(old) + sizes[len(sizes) - repeated - 1]
+                fixed = sizes[0] if system else 0
+                assert more > 70 or fixed + more + lines[repeated] > 160
+            sizes += lines[repeated:]
+            seen += 1
+        assert len(sizes) == sum(r[0] == w.conv_id for r in rows)
