@@ -32,12 +32,14 @@ def mixed(spark, rows, **kw):
     return docs, mixing.mix_sources(docs, **kw)
 
 
-@pytest.mark.parametrize("range_rows", [5_000, 5])
-def test_mixing(spark, range_rows):
+@pytest.mark.parametrize("how", [{}, {"range_rows": 5, "block_rows": 4}, {"range_rows": 1, "block_rows": 30}])
+def test_mixing(spark, how):
     rng = random.Random(1)
     rows = [(k, "w " * rng.randrange(0, 60), rng.choice(["a", "b", "c", "é", None, "hot", "hot", "hot"]), "s", 1) for k in range(400)]
     rows += [(7, "x y z", "a", "s", 1)] * 9 + [(None, "q r", "b", "s", 1), (1000, None, "a", "s", 1), (1001, "", "empty", "s", 1)]
-    _, out = mixed(spark, rows, range_rows=range_rows)
+    rows += [(None, f"n{k}", "b", "s", 1) for k in range(60)] + [(8, "alike in all", "hot", "s", 1)] * 150
+    room = max(how.get("block_rows", 1000), len(rows) // how.get("block_rows", 1000))
+    _, out = mixed(spark, rows, finish=True, **how)
     got = out.collect()
     assert len(got) == len(rows) and out.columns == ["doc_id", "text", "source", "size", "source_size", "target", "finish", "copies", "taken"]
     sizes = collections.Counter()
@@ -52,8 +54,51 @@ def test_mixing(spark, range_rows):
     for s in sizes:
         assert abs(taken[s] - want[s]) <= largest[s]
     assert sum(taken.values()) <= 1.5 * sum(sizes.values())
-    again = {(r.doc_id, r["size"], r.source): r.taken for r in mixed(spark, rows[::-1], range_rows=3)[1].collect()}
-    assert all(again[r.doc_id, r["size"], r.source] == r.taken for r in got if r.doc_id != 7)
+    counted = lambda out: collections.Counter((r.doc_id, r.text, r["size"], r.source, r.taken) for r in out)
+    how = {k: v for k, v in how.items() if k != "range_rows"}
+    assert counted(mixed(spark, rows[::-1], range_rows=3, **how)[1].collect()) == counted(got)
+    again = mixing.mix_sources(mixed(spark, rows)[0].repartition(5, "text"), **how)
+    assert "finish" not in again.columns and counted(again.collect()) == counted(got)
+    assert counted(got) == brute_mix(rows, room)
+
+
+def brute_mix(rows, room):
+    """The queues one document after another; rows alike in blocks of `room`."""
+    alike = collections.Counter((r[0], r[1], r[2]) for r in rows)
+    sizes, entries = collections.Counter(), collections.defaultdict(list)
+    for (k, text, source), n in alike.items():
+        digest = lambda x: hashlib.md5(x.encode()).hexdigest()
+        key = digest(f"8:{'' if k is None else k}:{source or ''}:{digest(text or '')}")
+        for i in range(n):
+            entries[source].append((digest(f"{key}:{i // room}") if n > room else key, i, k, text, len((text or "").split())))
+        sizes[source] += n * len((text or "").split())
+    target, queue = targets(sizes), []
+    for source, held in entries.items():
+        done = 0
+        for _, i, k, text, size in sorted(held, key=lambda e: e[:2]):
+            done += size
+            queue += [((done + epoch * sizes[source]) / target[source], size, (k, text, source, i)) for epoch in range(2) if target[source]]
+    queue.sort(key=lambda e: e[0])
+    taken, used, at = collections.Counter(), 0, 0
+    while at < len(queue):
+        same = [e for e in queue[at:] if e[0] == queue[at][0]]
+        used += sum(e[1] for e in same)
+        if used > 1.5 * sum(sizes.values()):
+            break
+        taken.update(e[2] for e in same)
+        at += len(same)
+    return collections.Counter((k, text, size, source, size * taken[k, text, source, i]) for source, held in entries.items() for _, i, k, text, size in held)
+
+
+def test_mixing_spreads_null_ids(spark):
+    rows = [(None, f"t{k}", "a", "s", 1) for k in range(3_000)]
+    docs, _ = mixed(spark, rows)
+    alike = docs.select(docs.source.alias("__mix_source"), mixing.F.md5(docs.text.cast("binary")).alias("__mix_key"), mixing.F.lit(1).cast("long").alias("size"), mixing.F.lit(1).cast("long").alias("n"))
+    sources = mixing.source_targets(alike.groupBy(mixing.F.col("__mix_source").alias("source")).agg(mixing.F.sum("size").alias("source_size")), (5, 2, 1), 1.5, 2).withColumn("bits", mixing.F.lit(5))
+    queue = mixing._queue(alike, sources, 1000)
+    assert sorted(r.before for r in queue.collect()) == list(range(3_000))
+    held = mixing.mix_sources(docs)
+    assert {r.copies for r in held.collect()} == {1, 2}
 
 
 def test_mixing_nothing(spark):
