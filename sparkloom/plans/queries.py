@@ -70,11 +70,11 @@ def dictionary_encode(spark, sf):
     return relational.encode(_t(spark, sf, "part").select("p_partkey", "p_type"), "p_type").select("p_partkey", "code")
 
 
-@query("select c_custkey, case when c_acctbal < 0 then '-' else '+' end as strand, (floor((c_custkey + c_nationkey) / 2))::bigint as middle, c_name || ':' || c_nationkey || '-' || c_custkey as region, round(log2(c_custkey / 10.0), 6) as ratio, round(-log10((c_custkey + c_custkey) / 1e9), 6) as weight from customer where c_custkey > 0")
+@query("select c_custkey, case when c_acctbal < 0 then '-' else '+' end as strand, (floor((c_custkey + c_nationkey) / 2))::bigint as middle, c_name || ':' || c_nationkey || '-' || c_custkey as region, round(log2(c_custkey / 10.0), 6) as ratio, round(-log10((c_custkey + c_custkey) / 1e9), 6) as weight, round(c_acctbal / nullif(c_nationkey, 0), 6) as ratio_or_null, round(coalesce(case when c_acctbal > 0 then c_acctbal end, 0) / c_custkey, 6) as ratio_or_0, round(-log10(c_custkey), 6) + 0 as link_weight from customer where c_custkey > 0")
 def scalar_functions(spark, sf):
     c = _t(spark, sf, "customer").where("c_custkey > 0")
     k = F.col("c_custkey")
-    return c.select(k, scalars.strand(F.when(F.col("c_acctbal") < 0, -1).otherwise(1)).alias("strand"), scalars.midpoint(k, F.col("c_nationkey")).alias("middle"), scalars.region_name(F.col("c_name"), F.col("c_nationkey"), k).alias("region"), F.round(scalars.log2_ratio(k, F.lit(10.0)), 6).alias("ratio"), F.round(scalars.length_weight(k, k), 6).alias("weight"))
+    return c.select(k, scalars.strand(F.when(F.col("c_acctbal") < 0, -1).otherwise(1)).alias("strand"), scalars.midpoint(k, F.col("c_nationkey")).alias("middle"), scalars.region_name(F.col("c_name"), F.col("c_nationkey"), k).alias("region"), F.round(scalars.log2_ratio(k, F.lit(10.0)), 6).alias("ratio"), F.round(scalars.length_weight(k, k), 6).alias("weight"), F.round(scalars.safe_ratio(F.col("c_acctbal"), F.col("c_nationkey")), 6).alias("ratio_or_null"), F.round(scalars.coalesced_ratio(F.when(F.col("c_acctbal") > 0, F.col("c_acctbal")), k), 6).alias("ratio_or_0"), (F.round(scalars.link_weight(k), 6) + 0).alias("link_weight"))
 
 
 @query("select p_partkey, reverse(translate(upper(p_name), 'ACGTUNRYKMSWBDHV', 'TGCAANYRMKSWVHDB')) as sequence from part")
@@ -328,14 +328,27 @@ def compose_layouts(spark, sf):
     return lift.compose_layouts(inner, outer)
 
 
+@query(f"""with {_PIECES}, info as (select key as orig, "start" as os, length, key * 10 + piece as key from pieces), lay as (select key, key % 50 as super, key * 1000 + 1 as ss, key * 1000 + length as se, case when key % 2 = 0 then 1 else -1 end as o from info),
+p as (select l_orderkey as id, l_partkey as orig, l_orderkey % 5000 + 1 as orig_pos from lineitem), a as (select id, p.orig, info.key, orig_pos - os + 1 as pos from p asof join info on info.orig = p.orig and p.orig_pos >= info.os)
+select id, a.key, pos, super, case o when -1 then se - pos + 1 else ss + pos - 1 end as super_pos from a join lay on lay.key = a.key""")
+def lift_alignments(spark, sf):
+    """Foreign alignments on whole sequences, lifted to pieces and on to what the pieces were built into."""
+    pieces = _pieces(spark, sf)[1].withColumn("orig", F.col("key")).withColumn("key", F.col("orig") * 10 + F.col("piece"))
+    info = pieces.select("key", "orig", F.col("start").alias("orig_start"), "length")
+    k = F.col("key")
+    lay = info.select(k, (k % 50).alias("super"), (k * 1000 + 1).alias("super_start"), (k * 1000 + F.col("length")).alias("super_end"), F.when(k % 2 == 0, 1).otherwise(-1).alias("orientation"))
+    p = _t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_partkey").alias("orig"), (F.col("l_orderkey") % 5000 + 1).alias("orig_pos"))
+    return lift.lift_alignments(p, info, lay).select("id", "key", "pos", "super", "super_pos")
+
+
 # ---- rolling joins: the last urgent order of a customer
 
-_ROLL = "r as (select o_orderkey as id, o_custkey as k, floor(epoch(o_orderdate))::bigint as at from orders), seg as (select o_custkey as k, floor(epoch(o_orderdate))::bigint as at, {}(o_orderkey) as seg from orders where o_orderpriority = '1-URGENT' and o_orderkey % 3 = 0 group by 1, 2)"
+_ROLL = "r as (select o_orderkey as id, o_custkey as k, floor(epoch(o_orderdate))::bigint as at from orders), seg as (select o_custkey as k, floor(epoch(o_orderdate))::bigint as at, {}(o_orderkey) as seg from orders where o_orderpriority = '1-URGENT' group by 1, 2)"
 
 
 def _rolling(spark, sf, **how):
     o = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("k"), F.unix_timestamp("o_orderdate").alias("at"), "o_orderpriority")
-    seg = o.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("id") % 3 == 0)).select("k", "at", F.col("id").alias("seg"))
+    seg = o.where("o_orderpriority = '1-URGENT'").select("k", "at", F.col("id").alias("seg"))
     return rolling.rolling_join(o.select("id", "k", "at"), seg, ["k"], "at", "seg", **how)
 
 
@@ -561,8 +574,8 @@ def orient(spark, sf):
     return layout.orient(m, pos, m.select(F.col("node").alias("key"), "length"), 2).select("node", _r("prv"), _r("nxt"), "orientation")
 
 
-_RES = """mm as (select c_custkey as node, (c_custkey // 4)::bigint as super, c_custkey % 4 + 1 as bin, 4 as nbin, (c_nationkey % 3)::bigint as chr from customer),
-pr as (select s_suppkey + 1000000 as link, s_suppkey * 100 as len, o_custkey as item from (select distinct l_suppkey, o_custkey from lineitem join orders on l_orderkey = o_orderkey where l_quantity = 50 and o_custkey % 7 = l_suppkey % 7) join supplier on s_suppkey = l_suppkey),
+_RES = """mm as (select p_partkey as node, (p_partkey // 4)::bigint as super, p_partkey % 4 + 1 as bin, 4 as nbin, (p_size % 3)::bigint as chr from part),
+pr as (select distinct l_orderkey + 1000000000 as link, l_orderkey % 1000 + 1 as len, l_partkey as item from lineitem),
 pl as (select link, len, item, super, chr from pr join mm on node = item where bin in (1, 4)),
 bo as (select a.link, a.len, a.item as i1, b.item as i2, a.super as s1, b.super as s2 from pl a join pl b on a.link = b.link and a.super < b.super and a.chr = b.chr),
 un as (select *, count(*) over (partition by link) as k from bo), be as (select *, row_number() over (partition by s1, s2 order by len desc, link) as i from un where k = 1)"""
@@ -570,14 +583,105 @@ un as (select *, count(*) over (partition by link) as k from bo), be as (select
 
 @query(f"with {_RES} select link, i1 as item1, i2 as item2, s1 as super1, s2 as super2 from be where i = 1")
 def rescue_links(spark, sf):
-    k = F.col("c_custkey")
-    members = _t(spark, sf, "customer").select(k.alias("node"), F.floor(k / 4).cast("long").alias("super"), (k % 4 + 1).alias("bin"), F.lit(4).cast("long").alias("super_nbin"), (F.col("c_nationkey") % 3).cast("long").alias("chr"))
-    li = _t(spark, sf, "lineitem").where("l_quantity = 50").select("l_suppkey", F.col("l_orderkey").alias("o_orderkey"))
-    pairs = li.join(_t(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey").where("o_custkey % 7 = l_suppkey % 7").select("l_suppkey", "o_custkey").distinct()
-    pairs = pairs.select((F.col("l_suppkey") + 1000000).alias("item1"), F.col("o_custkey").alias("item2"), F.lit(None).cast("long").alias("chr1"), (F.col("l_suppkey") * 100).alias("length1"))
+    """Orders as items of no chromosome, the parts in them as members of supers of four."""
+    k = F.col("p_partkey")
+    members = _t(spark, sf, "part").select(k.alias("node"), F.floor(k / 4).cast("long").alias("super"), (k % 4 + 1).alias("bin"), F.lit(4).cast("long").alias("super_nbin"), (F.col("p_size") % 3).cast("long").alias("chr"))
+    o = F.col("l_orderkey")
+    pairs = _t(spark, sf, "lineitem").select((o + 1_000_000_000).alias("item1"), F.col("l_partkey").alias("item2"), F.lit(None).cast("long").alias("chr1"), (o % 1000 + 1).alias("length1")).distinct()
     return layout.rescue_links(pairs, members)
 
 
+# ---- pruning, step by step: orders with made-up branches off their customer's path
+
+_OFF = _MEM.removesuffix(", 0 as rank from orders)") + """, case when o_orderkey % 11 = 0 then 2 when o_orderkey % 5 = 0 then 1 else 0 end::bigint as rank from orders),
+off as (select *, max(bin) over (partition by super) as nbin, (node % 3)::bigint as degree from mem)"""
+
+
+def _branched(spark, sf):
+    from pyspark.sql.window import Window
+
+    k = F.col("node")
+    m = _members(spark, sf).withColumn("rank", F.when(k % 11 == 0, 2).when(k % 5 == 0, 1).otherwise(0).cast("long"))
+    return m.withColumn("super_nbin", F.max("bin").over(Window.partitionBy("super"))), m.select("node", (k % 3).alias("degree"))
+
+
+@query(f"with {_OFF}, tw as (select node, super, bin // 2 as bin, rank from off) select node from tw where rank = 0 and exists (select 1 from tw b where b.super = tw.super and b.bin = tw.bin and b.rank > 1)")
+def branch_nodes(spark, sf):
+    m = _branched(spark, sf)[0]
+    two = m.withColumn("bin", F.floor(F.col("bin") / 2).cast("long"))  # two nodes a bin
+    return layout.branch_nodes(two)
+
+
+@query(f"with {_SUP} select item1 as node, count(*)::bigint as degree from sup where item2 not in (select p_partkey from part where p_size % 5 = 0) group by 1")
+def link_degree(spark, sf):
+    excluded = _t(spark, sf, "part").where("p_size % 5 = 0").select(F.col("p_partkey").alias("node"))
+    return layout.link_degree(_support(spark, sf), excluded)
+
+
+@query(f"with {_OFF} select node from off where length <= 400 and degree = 1 and exists (select 1 from off b where b.super = off.super and b.rank = 1 and abs(b.bin - off.bin) <= 1)")
+def short_tips(spark, sf):
+    return layout.short_tips(*_branched(spark, sf), 400)
+
+
+@query(f"with {_OFF} select node from off where rank = 1 and length <= 400")
+def bulges(spark, sf):
+    return layout.bulges(_branched(spark, sf)[0], 400)
+
+
+@query(f"""with {_OFF}, tw as (select node, super, (bin + 1) // 2 as bin, rank, length from off), w as (select *, max(bin) over (partition by super) as nbin from tw),
+s as (select super, node, length, unnest([2, nbin - 1]) as near, unnest([1, nbin]) as at, bin from w where rank > 0)
+select distinct case when s.length >= e.length then e.node else s.node end as node from s join w e on e.super = s.super and e.bin = s.at and e.rank = 0 where s.bin = s.near""")
+def end_forks(spark, sf):
+    from pyspark.sql.window import Window
+
+    two = _branched(spark, sf)[0].withColumn("bin", F.floor((F.col("bin") + 1) / 2).cast("long"))
+    return layout.end_forks(two.withColumn("super_nbin", F.max("bin").over(Window.partitionBy("super"))))
+
+
+@query(f"with {_OFF} select node from off where rank = 1 and degree = 1")
+def single_tips(spark, sf):
+    return layout.single_tips(*_branched(spark, sf))
+
+
+# ---- paths of graphs with one solution: a customer's orders by date, with a leaf off inner orders
+
+_LINE = """ord as (select o_orderkey as node, o_custkey as super, row_number() over (partition by o_custkey order by o_orderdate, o_orderkey)::bigint as bin, count(*) over (partition by o_custkey) as n, min(o_orderkey) over (partition by o_custkey) as least from orders),
+lf as (select node + 1000000000 as node, super, bin, least from ord where bin >= 3 and bin <= n - 2 and node % 2 = 0)"""
+_LINE_PATH = """(select super, node, case when n = 2 then case when node = least then 1 else 2 end else bin end as bin, 0::bigint as rank, true as backbone, least, n from ord where n > 1
+  union all select super, node, bin, 1, false, least, 0 from lf)"""
+
+
+def _line(spark, sf):
+    """(edges, leaves): orders next to one another, and a leaf to every other inner order."""
+    from pyspark.sql.window import Window
+
+    by = Window.partitionBy("super").orderBy("o_orderdate", "node")
+    o = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("node"), F.col("o_custkey").alias("super"), "o_orderdate")
+    o = o.select("node", "super", F.row_number().over(by).alias("bin"), F.lead("node").over(by).alias("next"), F.count("*").over(Window.partitionBy("super")).alias("n"))
+    at = F.col("bin").cast("double")
+    steps = o.where("next is not null").select("super", F.col("node").alias("src"), F.col("next").alias("dst"), F.lit(1.0).alias("weight"), at.alias("pos_src"), (at + 1).alias("pos_dst"))
+    leaves = o.where("bin >= 3 and bin <= n - 2 and node % 2 = 0").select("super", F.col("node").alias("src"), (F.col("node") + 1_000_000_000).alias("dst"), F.lit(5.0).alias("weight"), at.alias("pos_src"), F.lit(None).cast("double").alias("pos_dst"))
+    return steps.unionByName(leaves)
+
+
+@query(f"with {_LINE} select super, node, bin, rank, backbone from {_LINE_PATH}")
+def path_of_lines(spark, sf):
+    return path.order_components(_line(spark, sf))
+
+
+@query(f"""with {_LINE}, l as (select * from {_LINE_PATH})
+select node, case when rank = 1 then node else least end as super, case when rank = 1 then 1 else bin end as bin, 0::bigint as rank, true as backbone, case when rank = 1 then 1 else n end::bigint as super_size, rank = 1 as left_out from l""")
+def prune_lines(spark, sf):
+    edges = _line(spark, sf)
+    ends = [edges.select(F.col(e).alias("key"), F.col(f"pos_{e}").alias("cM")) for e in ("src", "dst")]
+    info = ends[0].unionByName(ends[1]).groupBy("key").agg(F.max("cM").alias("cM")).select("key", F.lit(1).cast("long").alias("chr"), "cM", (F.col("key") % 20_000).alias("length"))
+    one = edges.select(F.col("src").alias("item1"), F.col("dst").alias("item2"), "weight")
+    both = one.unionByName(one.select(F.col("item2").alias("item1"), F.col("item1").alias("item2"), "weight"))
+    members, excluded = layout.prune(both, info)
+    out = members.join(excluded.withColumn("left_out", F.lit(True)), "node", "left")
+    return out.select("node", "super", "bin", "rank", "backbone", "super_size", F.coalesce("left_out", F.lit(False)).alias("left_out"))
+
+
 # ---- contact matrices: pairs of lines of one order, by return flag and part
 
 _CON = "con as (select a.l_returnflag as chr1, a.l_partkey as start1, b.l_returnflag as chr2, b.l_partkey as start2 from lineitem a join lineitem b on a.l_orderkey = b.l_orderkey and a.l_linenumber < b.l_linenumber)"
@@ -657,10 +761,10 @@ def hic_links(spark, sf):
     return hic.interscaffold_links(pairs, info).select("key1", "key2", "nlinks", (F.round("weight", 6) + 0).alias("weight"))
 
 
-@query(f"""with {_MEM}, rg as (select * from (values (1, 1, 3), (2, 2, 4), (5, 1, 2)) v(super, a, b)), x as (select node, mem.super, bin, orientation, a, b from mem left join rg on rg.super = mem.super and bin between a and b where mem.super <= 50)
+@query(f"""with {_MEM}, rg as (select * from (values (1, 1, 3), (2, 2, 4), (5, 1, 2)) v(super, a, b)), x as (select node, mem.super, bin, orientation, a, b from mem left join rg on rg.super = mem.super and bin between a and b)
 select node, super, case when a is null then bin else a + b - bin end::bigint as hic_bin, case when a is null then orientation else coalesce(-orientation, -1) end as orientation from x""")
 def reverse_ranges(spark, sf):
-    m = _members(spark, sf).where("super <= 50").select("node", F.col("super").alias("chr"), F.col("bin").alias("hic_bin"), "orientation")
+    m = _members(spark, sf).select("node", F.col("super").alias("chr"), F.col("bin").alias("hic_bin"), "orientation")
     ranges = spark.createDataFrame([(1, 1, 3), (2, 2, 4), (5, 1, 2)], "chr long, start long, end long")
     return hic.reverse_ranges(m, ranges).select("node", F.col("chr").alias("super"), "hic_bin", "orientation")
 

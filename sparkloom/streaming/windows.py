@@ -20,12 +20,18 @@ def windowed_counts(events: DataFrame, key: str, at: str, value: str, width: str
     return out.select(key, F.unix_timestamp(F.col("w.start")).alias("start"), "n", "mean")
 
 
-def covered_bins(events: DataFrame, key: str, at: str, seconds: str, width: int, late: str = "1 hour") -> DataFrame:
-    """(key, bin, n): interval_coverage() for events that last `seconds`, by explosion, so that it can follow a stream."""
+def covered_bins(events: DataFrame, key: str, at: str, seconds: str, width: int, late: int = 3600, longest: int = 86_400) -> DataFrame:
+    """(key, bin, n): interval_coverage() for events that last `seconds`, by explosion, so that it can follow a stream.
+
+    On a stream a bin is a window of event time: its state goes, and in append mode it
+    is final, once bins `late` + `longest` seconds further on have been seen.  That is when
+    no event that lasts at most `longest` and comes at most `late` behind can cover it.
+    """
     s = F.unix_timestamp(F.col(at).cast("timestamp"))
     a, b = F.floor(s / width) * width, F.floor((s + F.col(seconds)) / width) * width
-    timed = events.withColumn("__at", F.col(at).cast("timestamp"))
+    spread = events.where(b - a > 2 * width).select(key, F.explode(F.sequence((a + width).cast("long"), (b - width).cast("long"), F.lit(width).cast("long"))).alias("bin"))
+    timed = spread.select(key, F.timestamp_seconds("bin").alias("__bin"))
     if events.isStreaming:
-        timed = timed.withWatermark("__at", late)
-    spread = timed.where(b - a > 2 * width).select(key, F.explode(F.sequence((a + width).cast("long"), (b - width).cast("long"), F.lit(width).cast("long"))).alias("bin"))
-    return spread.groupBy(key, "bin").agg(F.count("*").alias("n"))
+        timed = timed.withWatermark("__bin", f"{late + longest} seconds")
+    out = timed.groupBy(key, F.window("__bin", f"{width} seconds").alias("w")).agg(F.count("*").alias("n"))
+    return out.select(key, F.unix_timestamp(F.col("w.start")).alias("bin"), "n")
