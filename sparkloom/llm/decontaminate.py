@@ -11,6 +11,7 @@ into removal spans.  No document is shuffled.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 from itertools import repeat
 
@@ -236,9 +237,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     A null or empty text has no words and is not contaminated; an item without
     words has no window; a null item id counts as ''.  Items that repeat an id
     count as one.  Repeated rows each get the same answer.  An empty benchmark
-    hits nothing.  Columns of docs with one of the new names are replaced.
+    hits nothing; no documents give no rows.  Texts of any length are searched whole.
+    Columns of docs with one of the new names are replaced.
     keep: the columns of docs to return, all if None.
-    Memory: a shard, or one document if that is larger.
+    Memory: a shard, or one document if that is larger, and a block of the benchmark.
+    The benchmark passes through the driver block by block.  A worker process makes a
+    block's windows once, whatever the number of its tasks.
     """
     spark, added = docs.sparkSession, ["n_words", "n_hit", "items", "spans", "contaminated"]
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in added]
@@ -250,7 +254,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         later = next(blocks, None)
         with_text = later is not None or text_col in kept
         schema = T.StructType([f for f in frame.schema.fields if with_text or f.name != "text"])
-        frame = frame.mapInArrow(_searcher(spark.sparkContext.broadcast(now), window, shard_words, with_text), schema)
+        frame = frame.mapInArrow(_searcher(spark.sparkContext.broadcast(now), uuid.uuid4().hex, window, shard_words, with_text), schema)
         now = later
     width = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     columns = [F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in kept]
@@ -258,9 +262,22 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
-def _searcher(broadcast, window: int, shard_words: int, with_text: bool):
+#: The last block's windows a worker process has made, by broadcast and window.
+_MADE: dict[tuple, Windows] = {}
+
+
+def _windows(name: str, items: list[tuple[str, bytes]], window: int) -> Windows:
+    if (name, window) not in _MADE:
+        _MADE.clear()
+        _MADE[name, window] = Windows(items, window)
+    return _MADE[name, window]
+
+
+def _searcher(broadcast, name: str, window: int, shard_words: int, with_text: bool):
+    """name: one no other broadcast has."""
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = Windows(broadcast.value, window)
+        windows = _windows(name, broadcast.value, window)
         find, unknown = windows.vocabulary.get, repeat(0)
 
         def close(batch: pa.RecordBatch, ids: list[np.ndarray]) -> pa.RecordBatch:
