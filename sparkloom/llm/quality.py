@@ -81,8 +81,9 @@ def judge_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
 
     A null or empty text has no words and fails for its length; a document
     without n-grams scores 0.  With an empty target every score is 0 and only the
-    base rules decide.  Repeated ids and rows are judged each by its own text.
-    Windows and n-grams are compared by 64-bit hashes.  Columns of docs with one
+    base rules decide.  Repeated ids and rows are judged each by its own text, and a score
+    equal to the threshold is kept.  Texts of any length are judged whole; an empty table
+    gives no rows.  Windows and n-grams are compared by 64-bit hashes.  Columns of docs with one
     of the new names are replaced.  keep: the columns to return, all if None.
     """
     added = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")

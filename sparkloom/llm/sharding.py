@@ -45,8 +45,9 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit
     shard is the prefix in bits ('' if one shard holds all), with '+k' for the
     k-th overflow shard of rows that hash alike.  Sizes are bytes of UTF-8; a null
     text has none.  The hash is of id and text, so repeated ids with other texts
-    spread, and a null id counts as ''.  Only a single document over the limit
-    makes a shard over the limit, and has it to itself.  Columns of docs with one
+    spread, and a null id counts as ''; repeated rows hash alike.  Only a single document
+    over the limit makes a shard over the limit, and has it to itself.  Texts of any
+    length stay whole; an empty table gives no rows.  Columns of docs with one
     of the new names are replaced.  keep: the columns to return, all if None.
     """
     added = ("shard", "shard_depth", "shard_bytes", "shard_rows")

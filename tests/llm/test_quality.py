@@ -1,6 +1,9 @@
+import collections
+import math
 import random
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from sparkloom.llm import quality as op
@@ -43,17 +46,46 @@ def test_base_rules(spark):
     assert op.judge_quality(docs.limit(0), trusted).count() == 0
 
 
-def test_score_is_mean_log_ratio(spark):
-    texts = {1: "good words only", 2: "bad bad junk", 3: "good junk"}
-    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    weights = op.bucket_weights(docs, spark.createDataFrame([(1,)], "id long"), "doc_id", "text", buckets=op.BUCKETS, smoothing=1.0)
-    hashes = {r[0]: r[1:] for r in docs.select("doc_id", "text").transform(op._hashes).select("doc_id", op._ngrams().alias("g"), F.size("words").alias("n")).collect()}
-    got = {r.doc_id: r.score for r in docs.transform(op._hashes).select("doc_id", op._score(weights).alias("score")).collect()}
-    for k, (grams, n) in hashes.items():
-        assert len(grams) == 3 * n - 1
-        assert got[k] == pytest.approx(sum(weights[h % op.BUCKETS] for h in grams) / len(grams))
-    assert got[1] > got[3] > got[2]
-    assert sum(1 for w in weights if w) == len({h % op.BUCKETS for g, _ in hashes.values() for h in g if weights[h % op.BUCKETS]})
+def grams(text):
+    """64-bit hashes of all n-grams: words, pairs of words, last three characters."""
+    hashed = xxhash.xxh64_intdigest
+    words = (text or "").encode().split()
+    ids = [hashed(w, 42) for w in words]
+    pairs = [hashed(b.to_bytes(8, "little"), hashed(a.to_bytes(8, "little"), 42)) for a, b in zip(ids, ids[1:])]
+    return ids + pairs + [hashed((3).to_bytes(4, "little"), hashed(w.decode()[-3:].encode(), 42)) for w in words]
+
+
+def brute_scores(rows, trusted, buckets=8192, smoothing=32768):
+    """Mean log ratio of each (id, text): target over raw, both multinomials over hash buckets, the target's smoothed towards the raw one."""
+    raw, target, each = collections.Counter(), collections.Counter(), []
+    for k, text in rows:
+        held = collections.Counter(g % buckets for g in grams(text))
+        each.append(held)
+        raw.update(held)
+        if k in trusted:
+            target.update(held)
+    n, m = sum(raw.values()), sum(target.values())
+    weight = {b: round(math.log((target[b] + smoothing * raw[b] / n) / (m + smoothing)) - math.log(raw[b] / n), 4) for b in raw}
+    return [sum(weight[b] * c for b, c in held.items()) / max(1, sum(held.values())) for held in each]
+
+
+def trusted_of(labels):
+    least = {}
+    for r in labels:
+        if r.doc_id is not None and r.quality is not None:
+            least[r.doc_id] = min(r.quality, least.get(r.doc_id, 1))
+    return {k for k, q in least.items() if q == 1}
+
+
+def test_scores_of_small_tables(spark):
+    rng = random.Random(3)
+    rows = [(k if k % 8 else None, " ".join(rng.choice(["good", "bad", "junk", "é", "words", f"w{k % 5}"]) for _ in range(rng.choice([0, 1, 2, 30, 90])))) for k in range(60)]
+    rows += [(61, None), (1, rows[1][1]), (62, "very " * 20_000)]
+    docs = spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, text string, score int")
+    trusted = {k for k in range(0, 60, 3) if k % 8}
+    want = collections.Counter((k, t, round(x, 8)) for (k, t), x in zip(rows, brute_scores(rows, trusted)))
+    got = op.judge_quality(docs, spark.createDataFrame([(k,) for k in trusted], "id long"))
+    assert collections.Counter((r.doc_id, r.text, round(r.score, 8)) for r in got.collect()) == want
 
 
 def test_query(spark, sf):
@@ -61,6 +93,10 @@ def test_query(spark, sf):
     texts = {r.doc_id: r.text for r in table(spark, sf, "documents").collect()}
     assert rows.keys() == texts.keys()
     assert all(base(rows[k]) == brute(t) for k, t in texts.items())
-    labels = [r for r in table(spark, sf, "labels").collect() if not rows[r.doc_id].base_failed]
+    known = table(spark, sf, "labels").collect()
+    for (k, _), score in zip(texts.items(), brute_scores(list(texts.items()), trusted_of(known))):
+        assert rows[k].score == pytest.approx(score, abs=1e-9)
+        assert abs(score + 0.1) < 1e-9 or rows[k].kept == (not rows[k].base_failed and score >= -0.1)
+    labels = [r for r in known if not rows[r.doc_id].base_failed]
     good, bad = ([rows[r.doc_id].kept for r in labels if r.quality == q] for q in (1, 0))
     assert sum(good) / len(good) > 0.99 and sum(bad) / len(bad) < 0.2
