@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from sparkloom.plans import files  # noqa: F401
 from sparkloom.plans.queries import ORACLE, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
