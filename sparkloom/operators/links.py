@@ -14,17 +14,29 @@ def end_molecules(molecules: DataFrame, lengths: DataFrame, key: str, start: str
     return sized.where((F.col(end) <= max_dist) | (F.col(length) - F.col(start) <= max_dist))
 
 
-def barcode_links(molecules: DataFrame, item: str, barcode: str, sample: str) -> DataFrame:
+#: Rows of a barcode that meet its others in one task; a barcode of more is cut into parts of so many.
+PART_ROWS = 2_000
+
+
+def barcode_links(molecules: DataFrame, item: str, barcode: str, sample: str, part_rows: int = PART_ROWS) -> DataFrame:
     """(sample, barcode, item1, item2) of distinct items that share a barcode, both ways.
 
     Items of a barcode are first made distinct, and barcodes with one item left out,
-    so that the self join meets only what can link.
+    so that the self join meets only what can link.  The links of a barcode grow with
+    the square of its items; one with many is cut into parts, each of which meets all
+    its items in a task of its own.
     """
     once = molecules.where(F.col(barcode).isNotNull()).select(sample, barcode, F.col(item).alias("item")).distinct()
-    wide = once.groupBy(sample, barcode).agg(F.count("*").alias("__n")).where("__n >= 2").select(sample, barcode)
-    shared = once.join(wide, [sample, barcode], "left_semi")
-    a, b = shared.withColumnRenamed("item", "item1"), shared.withColumnRenamed("item", "item2")
-    return a.join(b, [sample, barcode]).where("item1 <> item2")
+    return _pairs(once, [sample, barcode], "item", part_rows).select(sample, barcode, F.col("one.item").alias("item1"), F.col("two.item").alias("item2"))
+
+
+def _pairs(rows: DataFrame, keys: list[str], item: str, part_rows: int) -> DataFrame:
+    """(keys, one, two): all pairs of rows of a key with different items."""
+    wide = rows.groupBy(*keys).agg(F.count("*").alias("__n")).where("__n >= 2").select(*keys, F.ceil(F.col("__n") / part_rows).cast("int").alias("__parts"))
+    held = rows.join(wide, keys).select(*keys, "__parts", F.struct(*(F.col(c) for c in rows.columns if c not in keys)).alias("row"))
+    one = held.select(*keys, F.pmod(F.xxhash64("row"), F.col("__parts")).cast("int").alias("__part"), F.col("row").alias("one"))
+    two = held.select(*keys, F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)).alias("__part"), F.col("row").alias("two"))
+    return one.join(two, [*keys, "__part"]).where(F.col("one")[item] != F.col("two")[item]).drop("__part")
 
 
 def link_support(links: DataFrame, barcode: str, sample: str, min_nmol: int, min_nsample: int, count_rows: bool = False) -> DataFrame:
@@ -61,8 +73,7 @@ def find_links(molecules: DataFrame, info: DataFrame, min_npairs: int, max_dist:
     return filter_links(annotated, max_cm), annotated
 
 
-def link_positions(molecules: DataFrame) -> DataFrame:
+def link_positions(molecules: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     """(item1, pos1, item2, pos2) of molecules of one barcode and sample on two items; pos is a molecule's middle."""
-    one = molecules.select("sample", "barcode", "key", F.floor((F.col("start") + F.col("end")) / 2).cast("long").alias("pos"))
-    a, b = one.withColumnsRenamed({"key": "item1", "pos": "pos1"}), one.withColumnsRenamed({"key": "item2", "pos": "pos2"})
-    return a.join(b, ["sample", "barcode"]).where("item1 <> item2").select("item1", "pos1", "item2", "pos2")
+    one = molecules.where("sample is not null and barcode is not null").select("sample", "barcode", "key", F.floor((F.col("start") + F.col("end")) / 2).cast("long").alias("pos"))
+    return _pairs(one, ["sample", "barcode"], "key", part_rows).select(F.col("one.key").alias("item1"), F.col("one.pos").alias("pos1"), F.col("two.key").alias("item2"), F.col("two.pos").alias("pos2"))

@@ -71,8 +71,12 @@ def hic_coverage_of_map(contacts: DataFrame, lengths: DataFrame, width: int = 10
     return coverage.coverage_ratio(cov, lengths, "key", width)
 
 
-def break_chimeras(a: Assembly, width: int = 200, slop: int = 200, interval: int = 50_000, min_nbin: int = 20, dist: int = 2_000, ratio: float = -3.0, max_cycles: int = 20) -> Assembly:
-    """Break sequences where molecule coverage falls, until it does nowhere; then lift all tables to the pieces."""
+def break_chimeras(a: Assembly, width: int = 200, slop: int = 200, interval: int = 50_000, min_nbin: int = 20, dist: int = 2_000, ratio: float = -3.0, max_cycles: int = 20, hic_width: int = 1000, hic_width2: int = 100_000, anchoring: dict | None = None) -> Assembly:
+    """Break sequences where molecule coverage falls, until it does nowhere; then lift all tables to the pieces.
+
+    What the assembly had of molecule coverage, Hi-C coverage and anchors is measured anew on
+    the pieces; anchoring: what to call anchor() with.
+    """
     dist = max(dist, 2 * slop + 1)
     measure = lambda m, i: coverage.coverage_ratio(coverage.interval_coverage(m, "key", "start", "end", width), i, "key", width)
     find = lambda c: coverage.find_breaks(c, "key", interval, min_nbin, dist, ratio)
@@ -80,12 +84,17 @@ def break_chimeras(a: Assembly, width: int = 200, slop: int = 200, interval: int
     if not cycles:
         return a
     drop = lambda df, *c: df.drop(*c)
-    return Assembly(
+    out = Assembly(
         info,
         lift.lift_positions(drop(a.markers, "key", "pos"), info),
         lift.lift_pairs(drop(a.pairs, "key1", "key2", "pos1", "pos2"), info),
         lift.lift_intervals(drop(a.molecules, "key", "start", "end"), info),
     )
+    if a.anchored is not None:
+        out = anchor(out, **(anchoring or {}))
+    if a.molecule_cov is not None:
+        out = add_molecule_coverage(out, width)
+    return out if a.hic_cov is None else add_hic_coverage(out, hic_width, hic_width2)
 
 
 @dataclass(frozen=True)

@@ -59,8 +59,16 @@ def test_chimera_breaks(spark, genome):
     a = plan.Assembly(genome.info.withColumn("key", F.col("key").cast("string")), genome.markers.withColumn("key", F.col("key").cast("string")), genome.pairs.withColumns({"key1": F.col("key1").cast("string"), "key2": F.col("key2").cast("string")}), holes.withColumn("key", F.col("key").cast("string")))
     extra = spark.createDataFrame([("1", 44_000, 56_000, "x", 1, 5, 1, 44_000, 56_000)], "key string, start long, end long, barcode string, sample long, npairs long, orig long, orig_start long, orig_end long")
     a = plan.Assembly(a.info, a.markers, a.pairs, a.molecules.unionByName(extra))
+    a = plan.add_hic_coverage(plan.add_molecule_coverage(plan.anchor(a), 1000), 1000)
     out = plan.break_chimeras(a, width=1000, slop=500, interval=50_000, min_nbin=20, dist=5_000, ratio=-3.0)
     info = out.info.collect()
+    # all is measured anew on the pieces
+    keys = {r.key for r in info}
+    anchored = {r.key: r for r in out.anchored.collect()}
+    assert anchored.keys() == keys != {r.key for r in a.anchored.collect()}
+    assert all(r.popseq_first in (None, 1 if r.orig < 6 else 2) for r in anchored.values())
+    for cov in (out.molecule_cov, out.hic_cov):
+        assert {r.key for r in cov.select("key").distinct().collect()} <= keys and cov.count() > 0
     assert len([r for r in info if r.orig == 1]) >= 3
     for k in range(1, 11):
         assert sum(r.orig_end - r.orig_start + 1 for r in info if r.orig == k) == 100_000
