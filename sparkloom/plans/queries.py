@@ -812,6 +812,24 @@ def break_loop(spark, sf):
     return split.break_loop(info, molecules, measure, find, 7200)[0]
 
 
+@query("""
+with recursive r(k, s, e) as (select p_partkey, 1::bigint, (p_size * 200 + 1000)::bigint from part
+  union all select k, s + unnest([1, x - 199, x + 201]) - 1, s + unnest([x - 200, x + 200, l]) - 1 from (select k, s, e - s + 1 as l, (e - s + 1) // 2 as x from r where e - s + 1 > 4000)),
+p as (select * from r where e - s + 1 <= 4000), m as (select l_partkey as k, l_orderkey % 4000 + 1 as s, l_orderkey % 4000 + 1 + l_suppkey * 5 as e from lineitem)
+select p.k || ':' || p.s || '-' || p.e as key, p.k as orig, p.s as orig_start, p.e as orig_end, p.e - p.s + 1 as length, count(m.k)::bigint as n_molecules
+from p left join m on m.k = p.k and m.s >= p.s and m.e <= p.e group by p.k, p.s, p.e""")
+def break_loop_halves(spark, sf):
+    """The loop with a rule that needs several cycles: what is over 4,000 long breaks in its middle; and the molecules that no cut crosses."""
+    seq = _t(spark, sf, "part").select(F.col("p_partkey").alias("orig"), (F.col("p_size") * 200 + 1000).cast("long").alias("length"))
+    info = seq.select(F.col("orig").cast("string").alias("key"), "orig", F.lit(1).cast("long").alias("orig_start"), F.col("length").alias("orig_end"), "length")
+    s = F.col("l_orderkey") % 4000 + 1
+    molecules = _t(spark, sf, "lineitem").select(F.col("l_partkey").alias("orig"), s.alias("orig_start"), (s + F.col("l_suppkey") * 5).alias("orig_end"))
+    find = lambda i: i.where("length > 4000").select("key", F.floor(F.col("length") / 2).alias("breakpoint"))
+    pieces, lifted, _ = split.break_loop(info, molecules, lambda m, i: i, find, 200)
+    held = lifted.groupBy("key").agg(F.count("*").alias("n_molecules"))
+    return pieces.join(held, "key", "left").select("key", "orig", "orig_start", "orig_end", "length", F.coalesce("n_molecules", F.lit(0)).alias("n_molecules"))
+
+
 # ---- streams: the same functions take a stream of events
 
 
