@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
 from ..operators.relational import spread_join
-from ..session import materialize
+from ..session import materialize, repeatable
 from ._util import quoted, table
 
 #: The rules of op7, as (verdict, host, path).
@@ -88,10 +88,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, edges: DataFrame | None = Non
     links, very long html is searched whole; repeated pages each get a row, and rules
     of one length and text that disagree allow.  No pages give no rows, no rules allow
     all.  Columns of pages with one of the new names are replaced.  The rows of a
-    common url, and the urls of a large component, are spread over tasks; pages must
-    give the same partitions each time it is read.  keep: the columns to return, all if
-    None.
+    common url, and the urls of a large component, are spread over tasks; pages that are not
+    repeatable() are written once.  keep: the columns to return, all if None.
     """
+    pages = repeatable(pages)
     added = ("host", "path", "rule", "verdict")
     kept = [c for c in (pages.columns if keep is None else keep) if c.lower() not in added]
     links = link_edges(pages, url_col, html_col)
