@@ -8,9 +8,10 @@ Entries are taken in the order of finish time until the total budget is used up.
 Neither the running sums nor the global order ever passes through one task.  Rows
 that are alike in id, source and text are counted first; a crowd of them is cut
 into blocks with digests of their own.  A source's queue is cut into ranges of the
-digest, as many as its rows need; sums of ranges are added up first, then rows
-inside their range.  The cut at the budget is found likewise, from sums over ranges
-of finish time and then inside the one range where the budget ends.
+digest, as many as its rows need, and those into stretches; sums of stretches are
+added up first, then ranges inside their stretch and rows inside their range.  The cut
+at the budget is found likewise, from sums over stretches and ranges of finish time
+and then inside the one range where the budget ends.
 
 All that works on digests and sizes alone.  What it gives for each source and epoch
 is the digest up to which its queue is taken, so whole documents are compared with
@@ -19,6 +20,8 @@ that where they are and are never shuffled.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -39,7 +42,8 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...], share: float, e
 
     Targets divide share * all words by weight; one that would exceed epochs *
     source_size stops there and what it leaves is shared again.  Sorted by cap
-    over weight, the sources that stop are the first ones.
+    over weight, the sources that stop are the first ones.  The list of sources, a row
+    each, passes through one task.
     """
     order = Window.orderBy(F.col("source").asc_nulls_last())
     numbered = sources.withColumn("sid", F.row_number().over(order))
@@ -145,14 +149,23 @@ def _queue(alike: DataFrame, sources: DataFrame, room: int) -> DataFrame:
     apart = F.when(F.col("n") > room, _digest(F.col("__mix_key"), F.col("block"))).otherwise(F.col("__mix_key"))
     blocks = blocks.select("__mix_source", apart.alias("__mix_key"), "size", F.least(F.lit(room).cast("long"), F.col("n") - F.col("block") * room).alias("n"))
     number = F.conv(F.substring("__mix_key", 1, 8), 16, 10).cast("long").alias("__number")
-    placed = _own_source(blocks, sources).select("sid", "source_size", "target", "__mix_key", "size", "n", "bits", number).withColumn("__range", F.expr("shiftright(__number, 32 - bits)")).drop("bits", "__number")
-    before = Window.partitionBy("sid").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = placed.groupBy("sid", "__range").agg(F.sum(F.col("size") * F.col("n")).alias("__words")).select("sid", "__range", F.coalesce(F.sum("__words").over(before), F.lit(0)).alias("__before"))
+    placed = _own_source(blocks, sources).select("sid", "source_size", "target", "__mix_key", "size", "n", "bits", number).withColumn("__range", F.expr("shiftright(__number, 32 - bits)"))
+    stretch = F.expr("shiftright(__range, bits - bits div 2)").alias("__stretch")
+    sums = placed.groupBy("sid", "__range", stretch).agg(F.sum(F.col("size") * F.col("n")).alias("__words"))
+    ranges = _before(sums, ["sid"], "__stretch", "__range", "__words").select("sid", "__range", "__before")
+    placed = placed.drop("bits", "__number")
     inside = Window.partitionBy("sid", "__range").orderBy("__mix_key").rowsBetween(Window.unboundedPreceding, -1)
     words = F.col("__before") + F.coalesce(F.sum(F.col("size") * F.col("n")).over(inside), F.lit(0))
     return materialize(placed.join(materialize(ranges), ["sid", "__range"]).withColumn("before", words).drop("__range", "__before"))
 
 
+def _before(sums: DataFrame, by: list[str], stretch: str, at: str, value: str) -> DataFrame:
+    """sums with __before: the values before each row in the order of `at`, by stretches first and then inside them."""
+    earlier = lambda w: F.coalesce(F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    coarse = sums.groupBy(*by, stretch).agg(F.sum(value).alias(value)).select(*by, stretch, earlier(Window.partitionBy(*by).orderBy(stretch)).alias("__base"))
+    return sums.join(coarse, [*by, stretch]).withColumn("__before", F.col("__base") + earlier(Window.partitionBy(*by, stretch).orderBy(at))).drop("__base")
+
+
 def _numbered(crowd: DataFrame, room: int) -> DataFrame:
     """Rows of crowds with the digest of their block; rows alike are numbered by partition first, then inside it."""
     dealt = materialize(crowd.withColumn("__part", F.spark_partition_id()))
@@ -181,8 +194,8 @@ def _cut(queue: DataFrame, budget: float, epochs: int, ranges: int) -> float:
     times = F.explode(F.array(*(_time(F.col("before") + F.col("j") * F.col("size"), e) for e in range(epochs)))).alias("t")
     entries = materialize(each.select(times, "size").where("t is not null"))
     part = F.least(F.floor(F.col("t") * ranges), F.lit(ranges * 8)).cast("long")
-    running = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = entries.groupBy(part.alias("part")).agg(F.sum("size").alias("n"), F.max("t").alias("latest")).withColumn("upto", F.sum("n").over(running))
+    sums = entries.groupBy(part.alias("part")).agg(F.sum("size").alias("n"), F.max("t").alias("latest")).withColumn("stretch", F.floor(F.col("part") / max(1, math.isqrt(ranges))))
+    sums = materialize(_before(sums, [], "stretch", "part", "n").withColumn("upto", F.col("__before") + F.col("n")))
     full = sums.where(F.col("upto") <= budget).agg(F.max("part"), F.max("upto"), F.max("latest")).first()
     here = sums.where(F.col("upto") > budget).agg(F.min("part")).first()[0]
     best = full[2] if full[2] is not None else -1.0
