@@ -90,20 +90,25 @@ def parameter_grid(spark, axes: dict[str, list], product: list[str], low: float,
 def spread_join(rows: DataFrame, table: DataFrame, key: str, how: str = "inner", share: int = 1_000, counted: DataFrame | None = None) -> DataFrame:
     """rows joined with the table, which has each key once; the rows of a hot key are dealt to several tasks.
 
-    A key with more than one in `share` of all rows is hot: there are at most `share` of them, so their list is
-    broadcast.  Its rows get numbers of that many parts, and the table's row is repeated for each part.
+    A key with more than one in `share` of all rows is hot: there are at most `share` of them, so their list may
+    come to the driver.  Its rows get numbers of as many parts as it needs, rounded up to a power of two, and the
+    table's row is repeated for each part.
     rows must give the same partitions each time it is read (a table, or what materialize() returns).
     counted: another table with the same keys as often, if that is cheaper to count.  A null key meets nothing.
     """
     known = rows if counted is None else counted
-    counts = known.groupBy(key).agg(F.count("*").alias("__n"))
-    total = known.count()
-    part = max(1, total // share)
-    hot = F.broadcast(counts.where(F.col("__n") > part).select(key, F.ceil(F.col("__n") / part).cast("int").alias("__parts")))
-    parts = F.coalesce("__parts", F.lit(1))
+    part = max(1, known.count() // share)
+    hot: dict[int, list] = {}
+    for key_of, n in known.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > part).collect():
+        hot.setdefault(1 << (-(-n // part) - 1).bit_length(), []).append(key_of)
+    if not hot:
+        return rows.join(table, key, how)
+    parts = F.lit(1)
+    for number, keys in hot.items():
+        some = [k for k in keys if k is not None]
+        if some:
+            parts = F.when(F.col(key).isin(some), number).otherwise(parts)
     # null keys are dealt out as well
-    left = rows.withColumn("__row", F.monotonically_increasing_id()).join(hot, key, "left")
-    spread = F.when(F.col(key).isNull(), F.lit(share)).otherwise(parts)
-    left = left.withColumn("__part", F.pmod(F.col("__row"), spread).cast("int")).drop("__row", "__parts")
-    right = table.join(hot, key, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
+    left = rows.withColumn("__part", F.pmod(F.monotonically_increasing_id(), F.when(F.col(key).isNull(), share).otherwise(parts)).cast("int"))
+    right = table.withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1)))
     return left.join(right, [key, "__part"], how).drop("__part")
