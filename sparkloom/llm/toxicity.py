@@ -26,7 +26,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..session import materialize, release
 from ._util import ALNUM, LOWER, held_out, quoted, table, text_bytes
@@ -177,8 +176,10 @@ def learn_words(docs: DataFrame, text_col: str, label_col: str) -> dict[str, flo
     words = F.array_remove(F.split(lower, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
     w = F.col("words")
     shingles = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - 2, F.lit(1))), lambda i: F.xxhash64(F.get(w, i - 1), F.get(w, i), F.get(w, i + 1)))
-    share_of = 1.0 / F.count("*").over(Window.partitionBy("group"))
-    each = docs.select(words.alias("words"), quoted(label_col).cast("double").alias("y")).withColumn("group", F.array_min(shingles)).withColumn("part", share_of)
+    # written, so that no filter on the join's key moves below the array functions
+    each = materialize(docs.select(words.alias("words"), quoted(label_col).cast("double").alias("y")).withColumn("group", F.array_min(shingles)))
+    held = each.groupBy("group").agg((1.0 / F.count("*")).alias("part"))  # no more rows than the sample, hence the broadcast
+    each = each.join(F.broadcast(held), "group")
     patterns = F.array_distinct(F.concat(w, *(_stems(w, k) for k in STEMS)))
     count = each.agg(F.sum(F.col("y") * F.col("part")), F.sum((1 - F.col("y")) * F.col("part"))).first()
     ones, rest = count[0] or 0.0, count[1] or 0.0
