@@ -38,10 +38,9 @@ def _joined(hashes: str, apart: int) -> Column:
     return F.when(n > apart, F.transform(F.sequence(F.lit(0), n - apart - 1), lambda i: F.xxhash64(F.get(h, i), F.get(h, i + apart)))).otherwise(F.array().cast("array<bigint>"))
 
 
-def _ngrams() -> Column:
-    """Hashes of all n-grams of a row of _hashes()."""
-    tails = F.transform("words", lambda w: F.xxhash64(F.right(w, F.lit(3)), F.lit(3)))
-    return F.concat("ids", "pairs", tails)
+def _tail(word: Column) -> Column:
+    """Hash of the last three characters."""
+    return F.xxhash64(F.right(word, F.lit(3)), F.lit(3))
 
 
 def _bucket(h: Column, buckets: int) -> Column:
@@ -60,8 +59,13 @@ _REPEATED = f"""
 def bucket_weights(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> list[float]:
     """Log ratio of each bucket, target over raw; 0 where the raw corpus has nothing.  trusted: (id), of bounded size."""
     mine = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text")).join(F.broadcast(trusted.select(F.col("id"), F.lit(1).alias("good"))), "id", "left")
-    grams = _hashes(mine).select("good", F.explode(_ngrams()).alias("h"))
-    counts = grams.groupBy(_bucket(F.col("h"), buckets).alias("b")).agg(F.count("*").alias("raw"), F.count("good").alias("target")).collect()
+    # a row for each word, so that hashing is compiled code
+    split = mine.select("good", words_of(F.col("text")).alias("words"))
+    after = F.slice("words", 2, 1 << 30)
+    each = split.select("good", F.inline(F.arrays_zip("words", after))).toDF("good", "word", "after")
+    word, pair = F.xxhash64("word"), F.xxhash64(F.xxhash64("word"), F.xxhash64("after"))
+    grams = F.array(_bucket(word, buckets), F.when(F.col("after").isNotNull(), _bucket(pair, buckets)), _bucket(_tail(F.col("word")), buckets))
+    counts = each.select("good", F.explode(grams).alias("b")).where("b is not null").groupBy("b").agg(F.count("*").alias("raw"), F.count("good").alias("target")).collect()
     raw, target = sum(r.raw for r in counts), sum(r.target for r in counts)
     weights = [0.0] * buckets
     for r in counts:
@@ -114,7 +118,9 @@ def judge_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
 def _score(weights: list[float]) -> Column:
     """Mean weight of a row's n-grams.  The weights, of fixed number, stand in the plan as one folded literal."""
     table_of = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<double>")
-    total = F.aggregate(_ngrams(), F.lit(0.0), lambda a, h: a + F.get(table_of, _bucket(h, len(weights))))
+    weigh = lambda h: F.get(table_of, _bucket(h, len(weights)))
+    add = lambda column, of: F.aggregate(column, F.lit(0.0), lambda a, x: a + weigh(of(x)))
+    total = add("ids", lambda h: h) + add("pairs", lambda h: h) + add("words", _tail)
     return total / F.greatest(F.size("ids") * 3 - 1, F.lit(1))
 
 
