@@ -82,3 +82,33 @@ def test_bands_reach(similarity, least):
         a, b = (op.np.array(sorted(s), op.np.uint64) for s in (words[cut:], words[: 1000 - cut]))
         met += bool((op.bands(a) == op.bands(b)).any())
     assert met >= least * 2000
+
+
+def test_trees_search_by_code_and_do_not_make_pairs(spark, monkeypatch):
+    """Before, there were no codes or trees, and every pair of different classes in a bucket was a row of a join."""
+    rng = random.Random(8)
+    base = [f"k{i}" for i in range(120)]
+    texts = list({" ".join(edited(rng, base, rng.choice([0.005, 0.03]))) for _ in range(400)})
+    assert len(set(map(int, (op.code_of(op.shingles(t.encode().split())) for t in texts)))) > 100
+    made = {}
+    search = op._between
+    monkeypatch.setattr(op, "TREE_TEXTS", 64)
+    monkeypatch.setattr(op, "_between", lambda *a: made.setdefault("links", op.materialize(search(*a))))
+    monkeypatch.setattr(op, "release", lambda df: None)
+    got = dict(map(tuple, op.jaccard_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()))
+    want = brute_classes(texts)
+    assert [got[i] for i in range(len(texts))] == want
+    assert 300 > len(set(want)) > 10 and made["links"].distinct().count() < 20 * len(texts)
+
+
+@pytest.mark.parametrize("n", [5, 20, 100, 1000])
+def test_radius_reaches(n):
+    """Codes of two sets of Jaccard 0.8 differ in at most RADIUS bits."""
+    rng = op.np.random.default_rng(n)
+    far = 0
+    for _ in range(1000):
+        words = rng.integers(0, 1 << 64, n, op.np.uint64)
+        cut = n // 10 or 1
+        a, b = (words[:-cut], words[cut:]) if n > 5 else (words, words[:-cut])
+        far += int(op.np.bitwise_count(op.code_of(a) ^ op.code_of(b))) > op.RADIUS
+    assert far <= 2
