@@ -448,7 +448,7 @@ def null_safe_join(spark, sf):
 def neighbour_bins(spark, sf):
     p = _t(spark, sf, "part")
     a, b = p.select("p_brand", F.col("p_partkey").alias("a"), F.col("p_size").alias("x")), p.select("p_brand", F.col("p_partkey").alias("b"), F.col("p_size").alias("y"))
-    return relational.neighbour_join(a, b, ["p_brand"], "x", "y", 1).where("a < b").select("p_brand", "a", "b")
+    return relational.neighbour_join(a, b, ["p_brand"], "x", "y", 1, "a < b").select("p_brand", "a", "b")
 
 
 @query("""

@@ -265,3 +265,13 @@ def test_spread_join_is_a_join(spark):
         want = sorted(map(tuple, rows.join(table, "k", how).collect()), key=str)
         assert sorted(map(tuple, spread_join(rows, table, "k", how, share=20).collect()), key=str) == want
     assert spread_join(rows.limit(0), table, "k").count() == 0
+
+
+def test_neighbour_join_is_dealt_to_tasks(spark):
+    """Small tables with many pairs: before, Spark put their shuffles, or a broadcast, into a task or two."""
+    a = spark.range(0, 3000, 1, 1).selectExpr("id % 5 as k", "id as a", "id % 7 as x")
+    b = a.selectExpr("k", "a as b", "x as y")
+    met = relational.neighbour_join(a, b, ["k"], "x", "y", 1, "a < b").withColumn("task", F.spark_partition_id())
+    assert met.select("task").distinct().count() > 8
+    want = a.alias("a").join(b.alias("b"), F.expr("a.k = b.k and abs(x - y) <= 1 and a < b")).count()
+    assert met.count() == want
