@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,6 +74,69 @@ def _star(edges: DataFrame, larger: bool, rows: int) -> DataFrame:
     return out.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
+#: Edges that a task contracts at once, which bounds its memory.
+CHUNK = 1_000_000
+
+
+def _least_of_component(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
+    """For each of n nodes the least one that the edges u - v reach."""
+    label = np.arange(n)
+    while True:
+        a, b = label[u], label[v]
+        apart = a != b
+        if not apart.any():
+            return label
+        u, v, a, b = u[apart], v[apart], a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(label, up := label[label]):
+            label = up
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, root) of each node in a chunk of edges: the least node that it reaches by them."""
+
+    def stars(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held)
+        ends = pa.chunked_array([*table.column(0).chunks, *table.column(1).chunks]).combine_chunks().dictionary_encode()
+        names = ends.dictionary
+        order = pc.sort_indices(names)
+        rank = np.empty(len(names), np.int64)
+        rank[order.to_numpy()] = np.arange(len(names))
+        at = rank[ends.indices.to_numpy()]
+        names = names.take(order)
+        roots = names.take(pa.array(_least_of_component(at[: len(table)], at[len(table) :], len(names))))
+        yield from pa.table({"node": names, "root": roots}).to_batches(max_chunksize=100_000)
+
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= CHUNK:
+            yield from stars(held)
+            held, rows = [], 0
+    if held:
+        yield from stars(held)
+
+
+def contracted_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """As connected_components(), for edges that mostly lie near others of their component.
+
+    A task contracts the edges it reads, chunk by chunk, to stars around the least node.  Nodes
+    of several stars link their roots, and only those links go through connected_components().
+    """
+    pairs = edges.select(F.coalesce(src, dst).alias("a"), F.coalesce(dst, src).alias("b")).where("a is not null")
+    kind = pairs.schema["a"].dataType.simpleString()
+    stars = materialize(pairs.mapInArrow(_contract, f"node {kind}, root {kind}"))
+    nodes = materialize(stars.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")))
+    twice = nodes.where("low < high")
+    more = stars.join(twice.where("n > 2").select("node", "low"), "node").where("root > low").select("low", F.col("root").alias("high"))
+    roots = connected_components(twice.select("low", "high").unionByName(more).distinct(), "low", "high")
+    roots = materialize(roots.select(F.col("node").alias("low"), "component"))
+    release(stars)
+    return nodes.join(roots, "low", "left").select("node", F.coalesce("component", "low").alias("component"))
+
+
 def component_stats(nodes: DataFrame, component: str = "component") -> DataFrame:
     """Nodes in each component."""
     return nodes.groupBy(component).agg(F.count("*").alias("n"))

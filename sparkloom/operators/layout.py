@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.aggregates import mean_if
-from ..session import materialize
-from .graph import connected_components
-from .path import order_components
+from ..session import materialize, repeatable
+from .graph import connected_components, contracted_components
+from .path import order_components, solve_graph, to_graph
 
 
 def without_nodes(edges: DataFrame, excluded: DataFrame | None, src: str = "item1", dst: str = "item2") -> DataFrame:
@@ -87,37 +93,197 @@ def single_tips(members: DataFrame, degree: DataFrame) -> DataFrame:
 
 
 def prune(links: DataFrame, info: DataFrame, max_rounds: int = 50, rounds: int = 100, max_length: int = 10_000) -> tuple[DataFrame, DataFrame]:
-    """Membership in which every super is a plain path, and the nodes left out for it.
+    """Membership in which every super is a plain path, and the nodes left out for it; see prune_members()."""
+    members = prune_members(links, info, max_rounds, rounds, max_length)
+    return members.drop("left_out"), members.where("left_out").select("node").distinct()
+
+
+def prune_members(links: DataFrame, info: DataFrame, max_rounds: int = 50, rounds: int = 100, max_length: int = 10_000) -> DataFrame:
+    """Membership, as of make_supers(), in which every super is a plain path; left_out: whether a node was left out for it.
 
     Branches of two steps or more are cut until there are none; then short tips,
     bulges, forks at ends, other tips and, last, all that is off a path.  Left-out
     nodes come back as supers of their own.
+
+    No step looks beyond a component, and leaving nodes out only divides it.  So components
+    are found once, dealt to tasks sorted by component, and pruned there one after
+    another to the end; of a component only the parts that lost a node are solved anew.
     """
-    node_type = dict(info.dtypes)["key"]
-    excluded = links.sparkSession.createDataFrame([], f"node {node_type}")
-    members = make_supers(links, info, None, rounds=rounds)
-    for turn in range(max_rounds):
-        found = materialize(branch_nodes(members))
-        if found.isEmpty():
+    spark = links.sparkSession
+    kind = dict(info.dtypes)["key"]
+    one, two = F.col("item1"), F.col("item2")
+    rows = repeatable(links.where("item1 is not null").select(one.cast(kind).alias("item1"), F.coalesce(two, one).cast(kind).alias("item2"), F.col("weight").cast("double").alias("weight")))
+    up, down = F.when(one <= two, 1), F.when(one > two, 1)
+    pairs = rows.groupBy(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).agg(F.min(F.when(one < two, F.col("weight"))).alias("weight"), F.count(up).alias("up"), F.count(down).alias("down"))
+    pairs = materialize(pairs.withColumn("weight", F.coalesce("weight", F.lit(float("nan")))))
+    # a link that is there one way only, against the order, joins a component as well: a degree counts it
+    parts = contracted_components(rows, "item1", "item2")
+    items = info.select(F.col("key").alias("a"), "chr", "cM", "length", F.lit(True).alias("item"))
+    both = items.unionByName(pairs.withColumn("item", F.lit(False)), allowMissingColumns=True)
+    named = both.join(parts.select(F.col("node").alias("a"), "component"), "a", "left").select(F.coalesce("component", "a").alias("super"), "a", "b", "weight", "up", "down", "item", "chr", "cM", "length", F.col("cM").cast("double").alias("at"))
+    # a number of tasks that is not lowered for small tables: their components take time as well
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    types = {c: named.schema[c].dataType.simpleString() for c in ("chr", "cM", "length")}
+    schema = f"node {kind}, super {kind}, bin long, rank long, backbone boolean, chr {types['chr']}, cM {types['cM']}, length {types['length']}, super_size long, super_nbin long, left_out boolean"
+    dealt = named.repartition(tasks, "super").sortWithinPartitions("super")
+    return materialize(dealt.mapInArrow(partial(_prune_sorted, max_rounds=max_rounds, rounds=rounds, max_length=max_length), schema))
+
+
+def _prune_sorted(batches: Iterator[pa.RecordBatch], **bounds: int) -> Iterator[pa.RecordBatch]:
+    """Members from rows of items and pairs (those have b) sorted by super; holds the batches of one super and one more."""
+    held: list[pa.RecordBatch] = []
+    name: object = held  # like no super
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        runs = pc.run_end_encode(batch.column(0))
+        cut = runs.run_ends[-2].as_py() if len(runs.values) > 1 else 0
+        if cut or runs.values[0].as_py() != name:
+            if held or cut:
+                yield from _prune_whole([*held, batch.slice(0, cut)], **bounds)
+            held = []
+        held.append(batch.slice(cut))
+        name = runs.values[-1].as_py()
+    if held:
+        yield from _prune_whole(held, **bounds)
+
+
+def _values(column: pa.ChunkedArray) -> list:
+    """to_pylist(), faster for numbers without nulls."""
+    plain = not column.null_count and (pa.types.is_integer(column.type) or pa.types.is_floating(column.type))
+    return column.to_numpy().tolist() if plain else column.to_pylist()
+
+
+def _prune_whole(batches: list[pa.RecordBatch], **bounds: int) -> Iterator[pa.RecordBatch]:
+    table = pa.Table.from_batches(batches).combine_chunks()
+    item = table.column("item")
+    found, pairs = table.filter(item), table.filter(pc.invert(item))
+    nodes, lengths, at = (_values(found.column(c)) for c in ("a", "length", "at"))
+    links = list(zip(*(_values(pairs.column(c)) for c in ("a", "b", "weight", "up", "down"))))
+    ends = pc.run_end_encode(table.column("super").combine_chunks()).run_ends.to_numpy()
+    upto = np.cumsum(item.to_numpy())[ends - 1]  # items of this super and those before
+    spots: list[tuple] = []
+    sizes: list[tuple] = []
+    out: list[bool] = []
+    i = j = 0
+    for n, m in zip(upto.tolist(), (ends - upto).tolist()):
+        mine = nodes[i:n]
+        place, left_out = prune_component(links[j:m], mine, lengths[i:n], dict(zip(mine, at[i:n])), **bounds)
+        here = [place.get(x) or (x, 1, 0, True) for x in mine]
+        size: dict = {}
+        for spot in here:
+            k, bins = size.get(spot[0], (0, 1))
+            size[spot[0]] = (k + 1, max(bins, spot[1]))
+        spots += here
+        sizes += [size[spot[0]] for spot in here]
+        out += [x in left_out for x in mine]
+        i, j = n, m
+    if not nodes:
+        return
+    supers, bins, ranks, on = zip(*spots)
+    count, nbin = zip(*sizes)
+    kind = table.schema.field("super").type
+    made = {"node": found.column("a"), "super": pa.array(supers, kind), "bin": pa.array(bins, pa.int64()), "rank": pa.array(ranks, pa.int64()), "backbone": pa.array(on, pa.bool_())}
+    made |= {c: found.column(c) for c in ("chr", "cM", "length")}
+    made |= {"super_size": pa.array(count, pa.int64()), "super_nbin": pa.array(nbin, pa.int64()), "left_out": pa.array(out, pa.bool_())}
+    yield from pa.table(made).to_batches(max_chunksize=100_000)
+
+
+def prune_component(pairs: list[tuple], nodes: list, lengths: list, position: dict, max_rounds: int = 50, rounds: int = 100, max_length: int = 10_000) -> tuple[dict, set]:
+    """Of the nodes of one component: node -> (super, bin, rank, backbone) where it has a link left, and the nodes left out.
+
+    pairs: a <= b, weight, links from a to b, links from b to a.  The steps are branch_nodes(),
+    short_tips(), bulges(), end_forks() and single_tips(), on the items with a row.
+    """
+    graph = to_graph([(a, b, w) for a, b, w, up, _ in pairs if up and a != b])
+    place: dict = {}
+    inside: dict = {}  # of each super all its nodes, without a row as well
+    left_out: set = set()
+    far: dict = {}  # node -> (far end, links)
+
+    def settle(todo: list) -> None:
+        todo = set(todo)
+        while todo:
+            reached = [todo.pop()]
+            for u in reached:
+                for v in graph[u]:
+                    if v in todo:
+                        todo.remove(v)
+                        reached.append(v)
+            if len(reached) == 1:
+                place.pop(reached[0], None)
+                continue
+            name = min(reached)
+            inside[name] = reached
+            whole = graph if len(reached) == len(graph) else {u: graph[u] for u in reached}
+            for u, bin_, rank, on in solve_graph(whole, position, False, rounds):
+                place[u] = (name, bin_, rank, on)
+
+    def leave(found: set) -> None:
+        todo = [x for name in {place[u][0] for u in found} for x in inside.pop(name) if x not in found]
+        for u in found:
+            del place[u]
+            for v in graph.pop(u):
+                graph[v].pop(u, None)
+        left_out.update(found)
+        settle(todo)
+
+    def degree(node: object) -> int:
+        if not far:
+            for a, b, _, up, down in pairs:
+                far.setdefault(a, []).append((b, up))
+                far.setdefault(b, []).append((a, down))
+        return sum(n for x, n in far[node] if x not in left_out)
+
+    def rows() -> list[tuple]:
+        return [(u, length, *place[u][:3]) for u, length in zip(nodes, lengths) if u in place]
+
+    def long_branches(m: list[tuple]) -> set:
+        bins = {(s, b) for _, _, s, b, rank in m if rank > 1}
+        return {u for u, _, s, b, rank in m if rank == 0 and (s, b) in bins}
+
+    def tips(m: list[tuple]) -> set:
+        near = {(s, b + d) for _, _, s, b, rank in m if rank == 1 for d in (-1, 0, 1)}
+        return {u for u, length, s, b, _ in m if length is not None and length <= max_length and (s, b) in near and degree(u) == 1}
+
+    def bubbles(m: list[tuple]) -> set:
+        return {u for u, length, _, _, rank in m if rank == 1 and length is not None and length <= max_length}
+
+    def forks(m: list[tuple]) -> set:
+        nbin: dict = {}
+        ends: dict = {}
+        for u, length, s, b, rank in m:
+            nbin[s] = max(b, nbin.get(s, 1))
+            if rank == 0:
+                ends.setdefault((s, b), []).append((u, length))
+        found = set()
+        for u, length, s, b, rank in m:
+            if rank > 0:
+                for end in ([1] if b == 2 else []) + ([nbin[s]] if b == nbin[s] - 1 else []):
+                    found |= {x if length is not None and n is not None and length >= n else u for x, n in ends.get((s, end), [])}
+        return found
+
+    def lone(m: list[tuple]) -> set:
+        return {u for u, _, _, _, rank in m if rank == 1 and degree(u) == 1}
+
+    def off(m: list[tuple]) -> set:
+        return {u for u, _, _, _, rank in m if rank > 0}
+
+    settle(list(graph))
+    for _ in range(max_rounds):
+        found = long_branches(rows())
+        if not found:
             break
-        excluded = materialize(excluded.unionByName(found).distinct())
-        members = make_supers(links, info, excluded, rounds=rounds)
+        leave(found)
     else:
         raise RuntimeError(f"branches remain after {max_rounds} rounds")
-    steps = (
-        lambda m, x: short_tips(m, link_degree(links, x), max_length),
-        lambda m, x: bulges(m, max_length),
-        lambda m, x: end_forks(m),
-        lambda m, x: bulges(m, max_length),
-        lambda m, x: single_tips(m, link_degree(links, x)),
-        lambda m, x: m.where("rank > 0").select("node"),
-    )
-    for step in steps:
-        found = materialize(step(members, excluded))
-        if not found.isEmpty():
-            excluded = materialize(excluded.unionByName(found).distinct())
-            members = make_supers(links, info, excluded, rounds=rounds)
-    return members, excluded
+    for step in (tips, bubbles, forks, bubbles, lone, off):
+        if all(spot[2] == 0 for spot in place.values()):
+            break  # nothing is off a path
+        found = step(rows())
+        if found:
+            leave(found)
+    return place, left_out
 
 
 def rescue_links(pairs: DataFrame, members: DataFrame) -> DataFrame:

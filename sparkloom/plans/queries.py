@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import aggregates, scalars
 from ..operators import assign, coverage, hic, layout, lift, links, path, relational, rolling, split
 from ..operators.graph import component_stats, connected_components, degrees
+from ..session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -659,9 +660,9 @@ def _line(spark, sf):
     o = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("node"), F.col("o_custkey").alias("super"), "o_orderdate")
     o = o.select("node", "super", F.row_number().over(by).alias("bin"), F.lead("node").over(by).alias("next"), F.count("*").over(Window.partitionBy("super")).alias("n"))
     at = F.col("bin").cast("double")
-    steps = o.where("next is not null").select("super", F.col("node").alias("src"), F.col("next").alias("dst"), F.lit(1.0).alias("weight"), at.alias("pos_src"), (at + 1).alias("pos_dst"))
-    leaves = o.where("bin >= 3 and bin <= n - 2 and node % 2 = 0").select("super", F.col("node").alias("src"), (F.col("node") + 1_000_000_000).alias("dst"), F.lit(5.0).alias("weight"), at.alias("pos_src"), F.lit(None).cast("double").alias("pos_dst"))
-    return steps.unionByName(leaves)
+    step = F.struct(F.col("node").alias("src"), F.col("next").alias("dst"), F.lit(1.0).alias("weight"), at.alias("pos_src"), (at + 1).alias("pos_dst"))
+    leaf = F.struct(F.col("node").alias("src"), (F.col("node") + 1_000_000_000).alias("dst"), F.lit(5.0).alias("weight"), at.alias("pos_src"), F.lit(None).cast("double").alias("pos_dst"))
+    return o.select("super", F.inline(F.array_compact(F.array(F.when(F.col("next").isNotNull(), step), F.when(F.expr("bin >= 3 and bin <= n - 2 and node % 2 = 0"), leaf)))))
 
 
 @query(f"with {_LINE} select super, node, bin, rank, backbone from {_LINE_PATH}")
@@ -672,14 +673,11 @@ def path_of_lines(spark, sf):
 @query(f"""with {_LINE}, l as (select * from {_LINE_PATH})
 select node, case when rank = 1 then node else least end as super, case when rank = 1 then 1 else bin end as bin, 0::bigint as rank, true as backbone, case when rank = 1 then 1 else n end::bigint as super_size, rank = 1 as left_out from l""")
 def prune_lines(spark, sf):
-    edges = _line(spark, sf)
-    ends = [edges.select(F.col(e).alias("key"), F.col(f"pos_{e}").alias("cM")) for e in ("src", "dst")]
-    info = ends[0].unionByName(ends[1]).groupBy("key").agg(F.max("cM").alias("cM")).select("key", F.lit(1).cast("long").alias("chr"), "cM", (F.col("key") % 20_000).alias("length"))
-    one = edges.select(F.col("src").alias("item1"), F.col("dst").alias("item2"), "weight")
-    both = one.unionByName(one.select(F.col("item2").alias("item1"), F.col("item1").alias("item2"), "weight"))
-    members, excluded = layout.prune(both, info)
-    out = members.join(excluded.withColumn("left_out", F.lit(True)), "node", "left")
-    return out.select("node", "super", "bin", "rank", "backbone", "super_size", F.coalesce("left_out", F.lit(False)).alias("left_out"))
+    edges = materialize(_line(spark, sf))
+    ends = edges.select(F.inline(F.array(*(F.struct(F.col(e).alias("key"), F.col(f"pos_{e}").alias("cM")) for e in ("src", "dst")))))
+    info = ends.groupBy("key").agg(F.max("cM").alias("cM")).select("key", F.lit(1).cast("long").alias("chr"), "cM", (F.col("key") % 20_000).alias("length"))
+    both = edges.select(F.inline(F.array(*(F.struct(F.col(a).alias("item1"), F.col(b).alias("item2"), "weight") for a, b in (("src", "dst"), ("dst", "src"))))))
+    return layout.prune_members(both, info).select("node", "super", "bin", "rank", "backbone", "super_size", "left_out")
 
 
 # ---- contact matrices: pairs of lines of one order, by return flag and part
